@@ -36,7 +36,7 @@ def split(text: str | None, form: str | None) -> dict[str, str]:
     found = headings(text or "")
     out = []
     for part, item in WANTED[form]:
-        bodies = [text[start:stop].strip() for (_, start, p, i), stop in zip(found, [*(h[0] for h in found[1:]), len(text or "")], strict=True) if i == item and (not part or p in (part, ""))]
+        bodies = [text[start:stop].strip() for (_, start, p, i), stop in zip(found, [*(h[0] for h in found[1:]), len(text or "")], strict=False) if i == item and (not part or p in (part, ""))]
         out.append(max(bodies, key=len, default=""))
     return {"risk_factors": out[0], "mdna": out[1], "error": None}
 

@@ -82,6 +82,12 @@ class Store:
             return self.spark.createDataFrame([], TABLES[name])
         return with_columns_of(self.spark.read.parquet(self.path(name)), TABLES[name])
 
+    def stage(self, name: str, rows: DataFrame) -> DataFrame:
+        """The rows written aside and read back: they stay as they are while the tables they came from are swapped."""
+        path = f"{self.root}/_stage/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Write the new state beside the table, then swap; rows may read the table itself."""
         path = self.path(name)
