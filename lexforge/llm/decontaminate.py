@@ -51,8 +51,8 @@ def fold(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts' symbols in one array, each ended by a separator, where each symbol came from, and the texts' ends."""
     flat = np.frombuffer("".join([(t or "") + "\n" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
     symbols = np.where(flat < 1 << 16, TABLE[np.minimum(flat, 65535)], np.uint8(0))
-    keep = np.ones(len(flat), bool)
-    keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
+    keep = symbols != 0
+    keep[1:] |= symbols[:-1] != 0
     ends = np.cumsum([len(t or "") + 1 for t in texts])
     keep[ends - 1] = True
     origin = np.flatnonzero(keep)

@@ -107,7 +107,7 @@ class Model:
             roots.append(offset * self.width)
             self.bits.append(np.log2(max(2, len(flat))))
             offset += len(goto)
-        table = np.concatenate(rows).ravel()
+        table = np.concatenate([*rows, np.zeros((1, self.width), np.int64)]).ravel()
         self.table = table.astype(np.int32) if table.max(initial=0) < 2**31 else table
         self.roots = np.array(roots, self.table.dtype)
 
@@ -115,8 +115,8 @@ class Model:
         """The texts' symbols in one array, without repeated separators, and each text's end in it."""
         points = code_points(folded(texts))
         flat = np.where(points < 1 << 16, self.lut[np.minimum(points, (1 << 16) - 1)], 1).astype(np.uint8)
-        keep = np.ones(len(flat), bool)
-        keep[1:] = (flat[1:] != 0) | (flat[:-1] != 0)
+        keep = flat != 0  # a separator stays after a letter alone, also at the start of a text
+        keep[1:] |= flat[:-1] != 0
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
         if len(ends):
             keep[ends - 1] = True  # each text ends with a separator
