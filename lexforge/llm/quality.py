@@ -27,15 +27,23 @@ from .common import held_out, map_batches, training_sample
 WIDTH, FILTERS, KERNEL, STRIDE, CHUNK, HIDDEN = 6, 24, 8, 4, 256, 16
 HALF, PER_HALF = CHUNK // 2, CHUNK // 2 // STRIDE
 #: Bounds of the training sample and the training itself.
-SAMPLE_TEXTS, SAMPLE_CHARS, EPOCHS, BATCH, RATE = 700, 1_500_000, 8, 16, 4e-3
+SAMPLE_TEXTS, SAMPLE_CHARS, EPOCHS, BATCH, RATE = 1000, 1_500_000, 14, 16, 4e-3
 #: Bytes that are convolved at once.
 SLICE = 1 << 18
 
 
 def padded(text: str | None) -> bytes:
-    """UTF-8, filled with zero bytes to whole half chunks, at least KERNEL - STRIDE of them."""
+    """UTF-8, filled with zero bytes to whole half chunks, at least STRIDE of them."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    return data + bytes(HALF - len(data) % HALF)
+    return data + bytes(STRIDE + (-len(data) - STRIDE) % HALF)
+
+
+def layout(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All documents' bytes, each one's first half chunk, and which half chunks are a document's last."""
+    ends = np.cumsum([len(d) // HALF for d in data])
+    last = np.zeros(ends[-1], bool)
+    last[ends - 1] = True
+    return np.frombuffer(b"".join(data), np.uint8), np.append(0, ends[:-1]), last
 
 
 class Network:
@@ -52,8 +60,11 @@ class Network:
             "d": np.zeros(1, f4),
         }
 
-    def halves(self, data: np.ndarray, where: bool = False):
-        """Each half chunk's largest output of each filter, before bias and rectifier; where: also the window it is at."""
+    def halves(self, data: np.ndarray, last: np.ndarray, where: bool = False):
+        """Each half chunk's largest output of each filter, before bias and rectifier; where: also the window it is at.
+
+        A document's very last window would reach into the next one; it holds padding alone and is left out.
+        """
         p, cut = self.p, STRIDE * WIDTH
         w = np.hstack([p["w"][:cut], p["w"][cut:]])
         tops, spots = [], []
@@ -63,6 +74,7 @@ class Network:
                 part = np.concatenate([part[: len(data) - at], np.zeros(STRIDE, np.uint8)])
             y = p["emb"][part].reshape(-1, cut) @ w
             out = (y[:-1, :FILTERS] + y[1:, FILTERS:]).reshape(-1, PER_HALF, FILTERS)
+            out[last[at // HALF : at // HALF + len(out)], -1] = -np.inf
             if where:
                 spot = out.argmax(1)
                 spots.append(spot)
@@ -71,11 +83,9 @@ class Network:
                 tops.append(out.max(1))
         return (np.concatenate(tops), np.concatenate(spots)) if where else np.concatenate(tops)
 
-    def features(self, tops: np.ndarray, starts: np.ndarray):
+    def features(self, tops: np.ndarray, starts: np.ndarray, last: np.ndarray):
         """Largest and mean chunk feature of each document; a chunk is a half and the next one, the last half stands alone."""
         r = np.maximum(tops + self.p["b"], 0)
-        last = np.zeros(len(r), bool)
-        last[np.append(starts[1:], len(r)) - 1] = True
         other = np.vstack([r[1:], r[-1:]])
         second = (other > r) & ~last[:, None]
         chunk = np.where(second, other, r)
@@ -101,15 +111,15 @@ class Network:
         return np.concatenate(out).astype(float).tolist()
 
     def _score(self, data: list[bytes]) -> np.ndarray:
-        starts = np.cumsum([0, *(len(d) // HALF for d in data[:-1])])
-        _, _, top, mean, _ = self.features(self.halves(np.frombuffer(b"".join(data), np.uint8)), starts)
+        flat, starts, last = layout(data)
+        _, _, top, mean, _ = self.features(self.halves(flat, last), starts, last)
         return self.head(np.hstack([top, mean]))[1]
 
     def gradients(self, data: list[bytes], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        p, flat = self.p, np.frombuffer(b"".join(data), np.uint8)
-        starts = np.cumsum([0, *(len(d) // HALF for d in data[:-1])])
-        tops, spots = self.halves(flat, where=True)
-        r, second, top, mean, n = self.features(tops, starts)
+        p = self.p
+        flat, starts, last = layout(data)
+        tops, spots = self.halves(flat, last, where=True)
+        r, second, top, mean, n = self.features(tops, starts, last)
         x = np.hstack([top, mean])
         h, prob = self.head(x)
         g = ((prob - y) * weight / len(y)).astype(np.float32)
@@ -140,16 +150,16 @@ class Network:
         return out | {"w": gw, "emb": ge}
 
 
-def fit(samples: dict[int, list[str]], seed: int = 11) -> Network | None:
-    """Adam over shuffled batches, each label with half of the weight; None without both labels."""
+def fit(samples: dict[int, list[str]], share: float | None = None, seed: int = 11) -> Network | None:
+    """Adam over shuffled batches; None without both labels. share: of label 1 among all labelled rows, which the weights restore."""
     if not samples.get(0) or not samples.get(1):
         return None
     net, rng = Network(seed), np.random.default_rng(seed)
     data = [padded(t) for k in (0, 1) for t in samples[k]]
     y = np.array([k for k in (0, 1) for _ in samples[k]], np.float32)
     n = len(y)
-    weight = np.where(y > 0, n / 2 / y.sum(), n / 2 / (n - y.sum())).astype(np.float32)
-    weight = np.sqrt(weight)
+    share = y.mean() if share is None else min(max(share, 0.02), 0.98)
+    weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean())).astype(np.float32)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     steps, total = 0, EPOCHS * -(-n // BATCH)
@@ -170,7 +180,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network
     """Fit on a bounded sample of the documents that have a label."""
     marks = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("__label"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id")
-    return fit(training_sample(rows, "__label", "text", "doc_id", SAMPLE_TEXTS, SAMPLE_CHARS, 5))
+    share = marks.agg(F.avg("__label")).first()[0]
+    return fit(training_sample(rows, "__label", "text", "doc_id", SAMPLE_TEXTS, SAMPLE_CHARS, 5), share)
 
 
 def classify(docs: DataFrame, net: Network | None, text: str = "text", score: str = "score") -> DataFrame:
