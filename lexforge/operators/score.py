@@ -1,8 +1,8 @@
 """Lexicon scores of filings' sections, with proportional and tf-idf weights.
 
-Texts come as (accession, section, text). Totals come from the size of the token array, so only tokens of the lexicon are
-shuffled: the explode is joined with the broadcast lexicon (bounded: a word list) before the aggregation, whose map side
-combines a document's repeats. Document frequencies are needed for lexicon tokens alone, too.
+Texts come as (accession, section, text). Totals come from the size of the token array, and tokens meet the broadcast
+lexicon (a word list, whose size is checked) where they are, so each text leaves its task as a few counts: one pass, one
+shuffle of partial sums. Document frequencies are counted for lexicon words alone.
 """
 
 from __future__ import annotations
@@ -33,63 +33,92 @@ def term_frequencies(texts: DataFrame) -> DataFrame:
     return tokenized(texts).select(*ID, F.explode("tokens").alias("tok")).groupBy(*ID, "tok").agg(F.count("*").alias("tf"))
 
 
+def words_of(lexicon: DataFrame) -> DataFrame:
+    """tok and all its categories in one row."""
+    return broadcast_if_small(lexicon.groupBy(F.col("word").alias("tok")).agg(F.collect_set("category").alias("categories")))
+
+
+def counted(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """accession, section, total_words, tok, categories and tf: a row for each lexicon word of a text, and one with nulls for
+    all its other tokens (or for none at all), so that every text stays without a second pass over it."""
+    rows = tokenized(texts).select(*ID, "total_words", F.explode_outer("tokens").alias("tok")).join(words, "tok", "left")
+    known = F.when(F.col("categories").isNotNull(), F.col("tok"))
+    return rows.groupBy(*ID, "total_words", known.alias("tok"), "categories").agg(F.count("*").alias("tf"))
+
+
 def lexicon_frequencies(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Term frequencies of lexicon words alone, with all categories of a word in one row."""
-    words = broadcast_if_small(lexicon.groupBy(F.col("word").alias("tok")).agg(F.collect_set("category").alias("categories")))
-    hits = tokenized(texts).select(*ID, "total_words", F.explode("tokens").alias("tok")).join(words, "tok")
+    """Term frequencies of lexicon words alone."""
+    hits = tokenized(texts).select(*ID, "total_words", F.explode("tokens").alias("tok")).join(words_of(lexicon), "tok")
     return hits.groupBy(*ID, "total_words", "tok", "categories").agg(F.count("*").alias("tf"))
 
 
 def category_sums(value: Column) -> list[Column]:
-    """One conditional sum for each category, 0 where it has none."""
-    return [F.coalesce(F.sum(F.when(F.array_contains("categories", name), value)), F.lit(0)).alias(measure) for name, measure in CATEGORIES.items()]
+    """One conditional sum for each category, 0 where it has none, divided by all words of the text."""
+    total = F.col("total_words")
+    part = lambda name: F.coalesce(F.sum(F.when(F.array_contains("categories", name), value)).cast("double"), F.lit(0.0))
+    return [F.when(total > 0, part(name) / total).otherwise(0.0).alias(measure) for name, measure in CATEGORIES.items()]
 
 
-def with_totals(texts: DataFrame, sums: DataFrame, keep_empty: bool) -> DataFrame:
-    totals = tokenized(texts).select(*ID, "total_words")
-    rows = (totals if keep_empty else totals.where("total_words > 0")).join(sums, ID, "left")
-    return rows.select(*ID, "total_words", *fn.measures(lambda m: F.when(F.col("total_words") > 0, F.coalesce(F.col(m).cast("double"), F.lit(0.0)) / F.col("total_words")).otherwise(0.0)))
+def filled(scores: DataFrame, keep_empty: bool) -> DataFrame:
+    return scores if keep_empty else scores.where("total_words > 0")
 
 
 def proportional_scores(texts: DataFrame, lexicon: DataFrame, keep_empty: bool = True) -> DataFrame:
     """Share of each text's tokens that a category has; 0.0 for texts without tokens.
 
-    A token array's hits are counted where it is, without a shuffle, if the lexicon is a literal; here it is a join.
+    One pass and one shuffle: a text's tokens meet the broadcast lexicon where they are and leave as one row.
     """
-    hits = tokenized(texts).select(*ID, F.explode("tokens").alias("tok"))
-    words = broadcast_if_small(lexicon.groupBy(F.col("word").alias("tok")).agg(F.collect_set("category").alias("categories")))
-    sums = hits.join(words, "tok").groupBy(*ID).agg(*category_sums(F.lit(1)))
-    return with_totals(texts, sums, keep_empty)
+    rows = tokenized(texts).select(*ID, "total_words", F.explode_outer("tokens").alias("tok")).join(words_of(lexicon), "tok", "left")
+    return filled(rows.groupBy(*ID, "total_words").agg(*category_sums(F.lit(1))), keep_empty)
 
 
-def document_frequencies(texts: DataFrame, ciks: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Of full texts: (tok, df), and one row n_docs, the texts with a token. ciks narrows both if texts has a cik."""
+def document_frequencies(texts: DataFrame, ciks: list[int] | None = None, lexicon: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Of full texts: (tok, df), and one row n_docs, the texts with a token. ciks narrows both if texts has a cik.
+
+    A filing has one full text, so a text's distinct tokens are counted as they are. lexicon: only its words have a df, which
+    is all that scores need; others are dropped before the shuffle.
+    """
     full = texts.where(F.col("section") == "full")
     if ciks:
         full = full.where(F.col("cik").isin(ciks))
     tokens = tokenized(full)
-    df = tokens.select("accession", F.explode(F.array_distinct("tokens")).alias("tok")).distinct().groupBy("tok").agg(F.count("*").alias("df"))
-    return df, tokens.where("total_words > 0").agg(F.countDistinct("accession").alias("n_docs"))
+    each = tokens.select(F.explode(F.array_distinct("tokens")).alias("tok"))
+    if lexicon is not None:
+        each = each.join(words_of(lexicon).select("tok"), "tok", "left_semi")
+    return each.groupBy("tok").agg(F.count("*").alias("df")), tokens.where("total_words > 0").agg(F.count("*").alias("n_docs"))
+
+
+def weighted(texts: DataFrame, lexicon: DataFrame, df: DataFrame, n_docs: DataFrame) -> tuple[DataFrame, Column]:
+    """counted() with df and n_docs, and the tf-idf weight of its rows.
+
+    n_docs is one row, and of df only lexicon words are kept, so both are broadcast as the lexicon is.
+    """
+    words = words_of(lexicon)
+    rows = counted(texts, words).join(df.join(words.select("tok"), "tok", "left_semi"), "tok", "left").crossJoin(F.broadcast(n_docs))
+    idf = F.log10("n_docs") - F.log10("df")
+    return rows, F.when((F.col("df") > 0) & (F.col("n_docs") > 0) & (idf > 0), (1 + F.log10("tf")) * idf).otherwise(0.0)
 
 
 def tfidf_scores(texts: DataFrame, lexicon: DataFrame, df: DataFrame, n_docs: DataFrame, keep_empty: bool = True) -> DataFrame:
     """Sum of (1 + log10 tf) * (log10 n_docs - log10 df) over a category's tokens with a positive idf, by all tokens.
 
-    A token without a document frequency adds nothing; n_docs is one row, broadcast.
+    A token without a document frequency adds nothing.
     """
-    hits = lexicon_frequencies(texts, lexicon).join(df.join(lexicon.select(F.col("word").alias("tok")).distinct(), "tok", "left_semi"), "tok").crossJoin(F.broadcast(n_docs))
-    idf = F.log10("n_docs") - F.log10("df")
-    weight = F.when((F.col("df") > 0) & (F.col("n_docs") > 0) & (idf > 0), (1 + F.log10("tf")) * idf).otherwise(0.0)
-    return with_totals(texts, hits.groupBy(*ID).agg(*category_sums(weight)), keep_empty)
+    rows, weight = weighted(texts, lexicon, df, n_docs)
+    return filled(rows.groupBy(*ID, "total_words").agg(*category_sums(weight)), keep_empty)
 
 
 def score_filings(texts: DataFrame, lexicon: DataFrame, df: DataFrame | None = None, n_docs: DataFrame | None = None, scored_at: str | None = None) -> DataFrame:
-    """Score rows of all texts with a token: a row for each text and weighting. df and n_docs may come from another corpus."""
+    """Score rows of all texts with a token: a row for each text and weighting, both from one pass over the texts.
+
+    df and n_docs may come from another corpus.
+    """
     if df is None:
-        df, n_docs = document_frequencies(texts)
-    parts = [proportional_scores(texts, lexicon, keep_empty=False).withColumn("weighting", F.lit("proportional")), tfidf_scores(texts, lexicon, df, n_docs, keep_empty=False).withColumn("weighting", F.lit("tfidf"))]
-    rows = parts[0].unionByName(parts[1])
-    return rows.select(*ID, "weighting", F.lit(SCORER_VERSION).alias("scorer_version"), "total_words", *MEASURES, F.lit(scored_at).cast("string").alias("scored_at"))
+        df, n_docs = document_frequencies(texts, lexicon=lexicon)
+    rows, weight = weighted(texts, lexicon, df, n_docs)
+    both = rows.groupBy(*ID, "total_words").agg(F.struct(F.lit("proportional").alias("weighting"), *category_sums(F.col("tf"))).alias("p"), F.struct(F.lit("tfidf").alias("weighting"), *category_sums(weight)).alias("t"))
+    long = both.where("total_words > 0").select(*ID, "total_words", F.explode(F.array("p", "t")).alias("s"))
+    return long.select(*ID, "s.weighting", F.lit(SCORER_VERSION).alias("scorer_version"), "total_words", *(f"s.{m}" for m in MEASURES), F.lit(scored_at).cast("string").alias("scored_at"))
 
 
 def eligible_texts(texts: DataFrame, records: DataFrame) -> DataFrame:

@@ -144,7 +144,7 @@ class Job:
         filings, old = self.store.read("filings"), self.store.read("scores")
         texts = self.store.read("texts").join(filings.where(F.col("stack") == of_stack(stack)).select("accession", "cik"), "accession")
         if df is None:
-            df, n_docs = score.document_frequencies(texts, ciks)
+            df, n_docs = score.document_frequencies(texts, ciks, self.lexicon())
         todo = select.to_score(filings.where(F.col("stack") == of_stack(stack)), old, force, ciks, limit)
         usable = score.eligible_texts(texts.drop("cik"), self.store.read("records")).join(todo.select("accession"), "accession", "left_semi")
         rows = self.store.stage("scored", score.score_filings(usable, self.lexicon(), df, n_docs, now()))

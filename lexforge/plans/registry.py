@@ -393,7 +393,7 @@ def agg02(spark, d):
 @query("agg03", f"SELECT t.accession, t.section, t.total_words, {EMPTY_SCORES} FROM totals t LEFT JOIN tfidf p USING (accession, section)")
 def agg03(spark, d):
     texts = driver.texts(spark, d)
-    return rounded(score.tfidf_scores(texts, lex(spark), *score.document_frequencies(texts)))
+    return rounded(score.tfidf_scores(texts, lex(spark), *score.document_frequencies(texts, lexicon=lex(spark))))
 
 
 @query("agg04", "SELECT tok, df, n_docs FROM df CROSS JOIN n_docs")
@@ -413,7 +413,7 @@ def agg06(spark, d):
     texts, filings = driver.texts(spark, d), driver.filings(spark, d)
     done = filings.where("cast(accession as bigint) % 5 = 0").select("accession", F.lit(SCORER_VERSION).alias("scorer_version"))
     todo = texts.join(select.to_score(filings, done).select("accession"), "accession", "left_semi")
-    return rounded(score.score_filings(score.eligible_texts(todo, records(spark, d)), lex(spark), *score.document_frequencies(texts))).select(*SCORE_COLUMNS)
+    return rounded(score.score_filings(score.eligible_texts(todo, records(spark, d)), lex(spark), *score.document_frequencies(texts, lexicon=lex(spark)))).select(*SCORE_COLUMNS)
 
 
 @query("agg07", "SELECT section, weighting, count(*) AS n, CAST(floor(avg(total_words)) AS BIGINT) AS avg_total_words, " + ", ".join(f"round(avg({m}), 5) AS avg_{m}" for m in MEASURES) + ", (SELECT count(*) FROM scores) AS rows, (SELECT count(DISTINCT accession) FROM scores) AS distinct_filings FROM scores GROUP BY section, weighting")
