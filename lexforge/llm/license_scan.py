@@ -208,3 +208,33 @@ def scan_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def licenses_of_documents(docs: DataFrame) -> DataFrame:
     return scan_texts(docs.select("doc_id", "text")).drop("spans")
+
+
+def template_regex(template: str) -> str:
+    """A regular expression over a text's words, each with a space before it and one after the last."""
+    out, at = "", 0
+    for m in [*MARK.finditer(template), None]:
+        out += "".join(f" {w}" for w in WORD.findall(ascii_lower(template[at : m.start() if m else len(template)])))
+        if m:
+            at = m.end()
+            out += {"<<opt>>": "(?:", "<</opt>>": ")?"}.get(m[0]) or f"(?: [^ ]+){{{m[1]},{m[2]}}}"
+    return out + " "
+
+
+def oracle() -> str:
+    """DuckDB SQL for licenses_of_documents."""
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    at = lambda p: "list_filter(range(1, len(w) + 1), lambda i: " + " AND ".join(f"w[i + {k}] = {quote(x)}" for k, x in enumerate(p.split())) + ")"
+    labels = sorted({label for label, _ in TEMPLATES})
+    found = ", ".join("CASE WHEN " + " OR ".join(f"regexp_matches(s, {quote(template_regex(t))})" for k, t in TEMPLATES if k == label) + f" THEN {quote(label)} END" for label in labels)
+    base = ", ".join(f"CASE WHEN len({at(p)}) > 0 THEN {quote(label)} END" for p, label in PHRASES.items())
+    places = f"list_concat({', '.join(at(p) for p in PHRASES)})" if len(PHRASES) == 2 else "flatten([" + ", ".join(at(p) for p in PHRASES) + "])"
+    joined = lambda x: f"array_to_string(list_sort(list_distinct({x})), ',')"
+    return f"""
+WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+lines AS (SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS s FROM words),
+found AS (SELECT doc_id, len(w) AS n_words, {places} AS places, list_filter([{base}], lambda x: x IS NOT NULL) AS base, list_filter([{found}], lambda x: x IS NOT NULL) AS own FROM lines)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
+  {joined('base')} AS base_labels, {joined('list_concat(base, own)')} AS labels,
+  CASE WHEN len(own) > 0 THEN 1.0 WHEN len(places) > 0 THEN 1 - power(0.5, len(places)) ELSE 0.0 END::DOUBLE AS score
+FROM found"""

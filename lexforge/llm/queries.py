@@ -32,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.oracle()}
+    return {"op1_substring_dedup": substring_dedup.oracle(), "op4_url_filter": url_filter.oracle(), "op5_license_scan": license_scan.oracle()}

@@ -100,4 +100,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, w
 
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs.select("doc_id", "text"))
+    return remove_repeats(docs.select("doc_id", "text")).withColumn("removed", F.array_join("removed", ","))
+
+
+def oracle(size: int = SENTENCES, words: int = WORDS) -> str:
+    """DuckDB SQL for deduplicated_documents, for texts whose white space is ASCII; runs are compared by their text."""
+    bare = lambda i: f"trim(p[{i}], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
+    key = " || chr(10) || ".join(bare(f"i + {k}") for k in range(size))
+    count = " + ".join(f"len(list_filter(regexp_split_to_array(p[i + {k}], '\\s+'), lambda x: x <> ''))" for k in range(size))
+    return f"""
+WITH cut AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?]\\s+|\\n\\s*)', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS p FROM documents),
+runs AS (SELECT DISTINCT doc_id, i, {key} AS span FROM (SELECT doc_id, p, unnest(range(1, len(p) - {size} + 2)) AS i FROM cut WHERE doc_id IS NOT NULL) WHERE {count} >= {words}),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY span ORDER BY doc_id, i) AS n FROM runs) WHERE n > 1),
+gone AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(i, i + {size}))))) AS g FROM later GROUP BY doc_id)
+SELECT c.doc_id, CASE WHEN g IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda k: NOT list_contains(g, k)), lambda k: p[k]), '') END AS text,
+  CAST(coalesce(len(p), 0) AS INTEGER) AS n_sentences, coalesce(array_to_string(list_transform(g, lambda k: k - 1), ','), '') AS removed
+FROM cut c LEFT JOIN gone USING (doc_id)"""
