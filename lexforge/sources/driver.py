@@ -64,7 +64,7 @@ def volume(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     section = F.when(F.col("l_linestatus") == "O", SECTIONS[0]).otherwise(SECTIONS[1])
     scores = lines.groupBy(F.col("l_orderkey").cast("string").alias("accession"), section.alias("section")).agg(F.lit("proportional").alias("weighting"), F.round(F.avg("l_discount"), 10).alias("neg"), F.sum("l_quantity").cast("bigint").alias("total_words"))
     orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("accession"), F.col("o_custkey").alias("cik"), F.lit("10-Q").alias("form_type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("acceptance_dt"), F.lit(None).cast("string").alias("period_of_report"))
-    customers = read(spark, sf_dir, "customer").join(F.broadcast(read(spark, sf_dir, "nation").limit(1000)), F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = read(spark, sf_dir, "customer").join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return scores, orders, customers.select(F.col("c_custkey").cast("string").alias("ticker"), F.col("c_custkey").alias("cik"), F.col("c_name").alias("name"), F.col("n_name").alias("sector"))
 
 
