@@ -78,46 +78,46 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id) == 1, F.lit(False))
 
 
-def training_sample(rows: DataFrame, label: str, text: str, key: str, per_label: int, label_chars: int, seed: int) -> dict[object, list[str]]:
-    """A bounded sample of labelled whole texts, by label.
-
-    Rows are kept by a hash of key below a threshold which the counts of all rows give, so about 2 * per_label rows of
-    each label come to the driver, however many there are; of those, in the order of their hashes, texts are taken while
-    a label has no more than per_label of them and label_chars characters. A longer text is passed over; if every text
-    of a label is longer, its shortest one gives its middle label_chars characters. At most 200 labels are taken, the
-    most frequent ones.
+def training_sample(labelled: DataFrame, label: str, texts: DataFrame, text: str, key: str, per_label: int, label_chars: int, seed: int) -> dict[object, list[str]]:
+    """A bounded sample of whole texts by label.
+
+    labelled has keys and labels, texts keys and texts (it may be the same table). Keys are drawn by a hash below a threshold
+    which the counts of all labelled rows give, so about 2 * per_label keys of each label come to the driver, however many
+    there are; the two tables aren't joined, the texts of the drawn keys alone are looked up. In the order of the keys'
+    hashes, texts are taken while a label has no more than per_label of them and label_chars characters. A longer text is
+    passed over; if every text of a label is longer, its shortest one gives its middle label_chars characters. At most 200
+    labels are taken, the most frequent ones. A null text is an empty one; of texts with equal keys the first in order counts.
     """
-    unit = (F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)).alias("unit")
-    rows = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(200).collect()}
+    labelled = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
+    counts = {r[0]: r[1] for r in labelled.groupBy(label).count().orderBy(F.desc("count"), label).limit(200).collect()}
     if not counts:
         return {}
+    unit = F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, (2 * per_label + 20) / n))).otherwise(share)
-    drawn = rows.select(label, text, F.col(key).alias("key"), unit).where(F.col("unit") < share)
-    # lengths first: only the chosen texts travel, a bounded number of characters
-    sizes = sorted((r["unit"], str(r["key"]), r[label], r["n"], r["key"]) for r in drawn.select(label, "key", "unit", F.length(text).alias("n")).collect())
-    chosen: dict[object, list] = {value: [] for value in counts}
+    drawn = labelled.select(F.col(key).alias("k"), F.col(label).alias("v"), unit.alias("unit")).where(F.col("unit") < share).distinct().collect()
+    order = sorted(drawn, key=lambda r: (r["unit"], str(r["k"]), str(r["v"])))
+    rows = texts.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    found = rows.where(F.col("k").isin([r["k"] for r in order])).groupBy("k").agg(F.min(F.struct(F.length("t").alias("n"), F.xxhash64("t").alias("h"))).alias("x"))
+    sizes = {r["k"]: r["x"]["n"] for r in found.collect()}
+    chosen: dict[object, dict] = {value: {} for value in counts}
     used = dict.fromkeys(counts, 0)
-    for _, _, value, n, k in sizes:
-        if len(chosen[value]) < per_label and used[value] + n <= label_chars:
-            chosen[value].append(k)
+    for r in order:
+        n, value = sizes.get(r["k"]), r["v"]
+        if n is not None and len(chosen[value]) < per_label and used[value] + n <= label_chars:
+            chosen[value][r["k"]] = 0
             used[value] += n
-    middle = {}
-    for value in counts:
-        if not chosen[value] and (longest := [(n, str(k), k) for _, _, v, n, k in sizes if v == value]):
-            n, _, k = min(longest, key=lambda x: x[:2])
-            chosen[value], middle[k] = [k], max(0, (n - label_chars) // 2)
-    keys = [k for ks in chosen.values() for k in ks]
+    for value, keys in chosen.items():
+        if not keys and (longer := [(sizes[r["k"]], r["unit"], r["k"]) for r in order if r["v"] == value and r["k"] in sizes]):
+            n, _, k = min(longer, key=lambda x: x[:2])
+            keys[k] = max(0, (n - label_chars) // 2)
     start = F.lit(1)
-    for k, at in middle.items():
-        start = F.when(F.col("key") == F.lit(k), F.lit(at + 1)).otherwise(start)
-    taken = drawn.where(F.col("key").isin(keys)).select(label, "unit", "key", F.substring(F.col(text), start, F.lit(label_chars)).alias(text)).collect() if keys else []
-    out: dict[object, list[str]] = {value: [] for value in counts}
-    seen = set()
-    for r in sorted(taken, key=lambda r: (r["unit"], str(r["key"]), r[text])):
-        if (r["key"], r[label]) not in seen:
-            seen.add((r["key"], r[label]))
-            out[r[label]].append(r[text])
-    return {value: texts for value, texts in out.items() if texts}
+    for keys in chosen.values():
+        for k, at in keys.items():
+            if at:
+                start = F.when(F.col("k") == F.lit(k), F.lit(at + 1)).otherwise(start)
+    wanted = [k for keys in chosen.values() for k in keys]
+    cut = F.struct(F.length("t").alias("n"), F.xxhash64("t").alias("h"), F.substring(F.col("t"), start, F.lit(label_chars)).alias("t"))
+    taken = {r["k"]: r["x"]["t"] for r in rows.where(F.col("k").isin(wanted)).groupBy("k").agg(F.min(cut).alias("x")).collect()} if wanted else {}
+    return {value: [taken[k] for k in keys if k in taken] for value, keys in chosen.items() if keys}

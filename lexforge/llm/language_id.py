@@ -160,7 +160,7 @@ class Model:
 
 def train(labelled: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id") -> Model:
     """Automata from a bounded sample (SAMPLE_TEXTS, SAMPLE_CHARS for each language) of the labelled rows."""
-    return Model({str(k): v for k, v in training_sample(labelled, label, text, key, SAMPLE_TEXTS, SAMPLE_CHARS, 7).items()})
+    return Model({str(k): v for k, v in training_sample(labelled, label, labelled, text, key, SAMPLE_TEXTS, SAMPLE_CHARS, 7).items()})
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -179,9 +179,8 @@ def fit(samples: dict[int, list[str]], share: float | None = None, seed: int = 1
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network | None:
     """Fit on a bounded sample of the documents that have a label."""
     marks = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("__label"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id")
     share = marks.agg(F.avg("__label")).first()[0]
-    return fit(training_sample(rows, "__label", "text", "doc_id", SAMPLE_TEXTS, SAMPLE_CHARS, 5), share)
+    return fit(training_sample(marks, "__label", docs, "text", "doc_id", SAMPLE_TEXTS, SAMPLE_CHARS, 5), share)
 
 
 def classify(docs: DataFrame, net: Network | None, text: str = "text", score: str = "score") -> DataFrame:

@@ -74,11 +74,12 @@ def test_held_out_is_crc32(spark):
 
 def test_training_sample_is_bounded_and_stable(spark):
     rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 10).alias("text"), F.when(F.col("id") % 50 == 0, "rare").otherwise("hot").alias("lang"))
-    got = common.training_sample(rows, "lang", "text", "doc_id", 40, 10_000, 1)
+    got = common.training_sample(rows, "lang", rows, "text", "doc_id", 40, 10_000, 1)
     assert {k: len(v) for k, v in got.items()} == {"hot": 40, "rare": 40}
-    assert got == common.training_sample(rows.repartition(7), "lang", "text", "doc_id", 40, 10_000, 1)
-    assert sum(map(len, common.training_sample(rows, "lang", "text", "doc_id", 40, 95, 1)["hot"])) <= 95
-    only = common.training_sample(rows.withColumn("text", F.repeat(F.lit("y"), 500)), "lang", "text", "doc_id", 40, 95, 1)
+    assert got == common.training_sample(rows.repartition(7), "lang", rows.repartition(3), "text", "doc_id", 40, 10_000, 1)
+    assert sum(map(len, common.training_sample(rows, "lang", rows, "text", "doc_id", 40, 95, 1)["hot"])) <= 95
+    longer = rows.withColumn("text", F.repeat(F.lit("y"), 500))
+    only = common.training_sample(longer, "lang", longer, "text", "doc_id", 40, 95, 1)
     assert [len(t) for t in only["hot"]] == [95]
 
 
@@ -278,3 +279,15 @@ def test_pipeline(spark, sf, odd):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, odd, sf).collect()
         assert stage(spark, odd.limit(0), sf).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_against_sql(spark, sf, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    found, want = queries.queries()[name](spark, sf), con.sql(queries.oracle_sql()[name])
+    columns = sorted(want.columns)
+    assert columns == sorted(found.columns)
+    pick = lambda row, names: str(tuple(row[names.index(c)] for c in columns))
+    assert sorted(pick(r, found.columns) for r in found.collect()) == sorted(pick(r, want.columns) for r in want.fetchall())
