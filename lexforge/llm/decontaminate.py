@@ -29,7 +29,7 @@ from .common import map_batches
 
 Q, EDITS, MIN_ITEM, BLOCK_SYMBOLS = 8, 0.08, 40, 4_000_000
 #: Positions looked at together.
-SLICE = 1 << 20
+SLICE = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
