@@ -1,11 +1,11 @@
-"""What Python workers need from the session."""
+"""What operators need from the session."""
 
 from __future__ import annotations
 
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def importable(spark: SparkSession | None = None) -> None:
@@ -14,3 +14,10 @@ def importable(spark: SparkSession | None = None) -> None:
     root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores if their files give fewer partitions than there are: one file of long texts would otherwise be
+    one task. Inputs of more files than cores stay as they are read, without a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 0 < rows.rdd.getNumPartitions() < cores else rows

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import spread
 from ..schema import SECTIONS
 from . import lexicon
 
@@ -45,7 +46,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("accession"), F.col("text"))
+    docs = spread(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("accession"), F.col("text")))
     half = F.floor(F.length("text") / 2).cast("int")
     pairs = F.array(F.struct(F.lit("full").alias("section"), F.col("text").alias("text")), F.struct(F.lit("risk_factors").alias("section"), F.substring(F.col("text"), F.lit(1), half).alias("text")), F.struct(F.lit("mdna").alias("section"), F.substring(F.col("text"), half + 1, F.length("text")).alias("text")))
     return docs.select("accession", F.explode(pairs).alias("x")).select("accession", "x.section", "x.text")
@@ -53,7 +54,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """accession, risk_factors and mdna."""
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("accession"), F.col("text"))
+    docs = spread(read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("accession"), F.col("text")))
     half = F.floor(F.length("text") / 2).cast("int")
     return docs.select("accession", F.substring(F.col("text"), F.lit(1), half).alias("risk_factors"), F.substring(F.col("text"), half + 1, F.length("text")).alias("mdna"))
 
