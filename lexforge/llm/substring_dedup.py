@@ -13,12 +13,18 @@ document's own sentences.
 Defined cases: null stays null with 0 sentences; an empty text has no sentence and stays empty; a text that is removed
 whole becomes empty; a text of one sentence has no run; rows with equal doc_id and equal text count as one document (none
 loses to the other); a null doc_id is not deduplicated; runs that overlap themselves within one document count as repeats.
+
+That rule, which oracle() has as SQL, leaves out runs of SENTENCES sentences with fewer words. passages() has no such cut: from
+each sentence on, and back from each sentence, a run is extended until it has SENTENCES sentences and WORDS words, so every
+passage of that many is covered to its ends, however short its sentences are; a text that never gets there is one run.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -51,26 +57,39 @@ def spans(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[
     return out
 
 
-def all_spans(docs: DataFrame, text: str, size: int, words: int) -> DataFrame:
-    """doc_id, pos, h1 and h2 of every run."""
+def passages(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[tuple[int, bytes]]:
+    """Place (start << 32 | end) and 16-byte hash of the shortest runs of at least size sentences and so many words from each
+    sentence on and back from each sentence; of the whole text if it has none."""
+    bare = [p.strip() for p in pieces]
+    total = list(accumulate((len(b.split()) for b in bare), initial=0))
+    n = len(bare)
+    ahead = ((i, max(i + size, bisect_left(total, total[i] + words))) for i in range(n))
+    back = ((min(j - size, bisect_right(total, total[j] - words) - 1), j) for j in range(1, n + 1))
+    found = {(i, j) for i, j in ahead if j <= n} | {(i, j) for i, j in back if i >= 0}
+    if not found and total[n]:
+        found = {(0, n)}
+    return [(i << 32 | j, xxhash.xxh128_digest("\n".join(bare[i:j]).encode("utf-8", "surrogatepass"))) for i, j in sorted(found)]
+
+
+def all_spans(docs: DataFrame, text: str, runs: Callable[[str], list[tuple[int, bytes]]], kind: str = "int") -> DataFrame:
+    """doc_id, pos (of a kind of integer), h1 and h2 of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for at in range(0, len(texts), 200):  # runs of a few documents at a time
-                found = [spans(sentences(t), size, words) if t else [] for t in texts[at : at + 200]]
+                found = [runs(t) if t else [] for t in texts[at : at + 200]]
                 owner = np.repeat(np.arange(len(found)), [len(f) for f in found]) + at
                 if len(owner):
                     both = np.frombuffer(b"".join([h for f in found for _, h in f]), np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array([p for f in found for p, _ in f], pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc_id", "pos", "h1", "h2"])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array([p for f in found for p, _ in f], pa.int32() if kind == "int" else pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc_id", "pos", "h1", "h2"])
 
     rows = docs.select("doc_id", text).where(F.col("doc_id").isNotNull())
-    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, pos int, h1 long, h2 long")
+    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, pos {kind}, h1 long, h2 long")
 
 
-def repeated_places(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """doc_id and the sorted starts of its runs that aren't the first of their kind."""
-    runs = all_spans(docs, text, size, words)
+def repeated_places(runs: DataFrame) -> DataFrame:
+    """doc_id and the sorted places of its runs that aren't the first of their kind."""
     first = runs.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max(F.struct("doc_id", "pos")).alias("last")).where("first != last")
     later = runs.join(first, ["h1", "h2"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("pos") != F.col("first.pos")))
     return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
@@ -78,8 +97,20 @@ def repeated_places(docs: DataFrame, text: str = "text", size: int = SENTENCES,
 
 def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """All columns of docs with covered sentences removed from the texts, then n_sentences and removed (their positions)."""
+    runs = all_spans(docs, text, lambda t: spans(sentences(t), size, words))
+    return without(docs, runs, text, sentences, lambda p: range(p, p + size))
+
+
+def remove_passages(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
+    """As remove_repeats, with the runs of passages()."""
+    runs = all_spans(docs, text, lambda t: passages(sentences(t), size, words), "long")
+    return without(docs, runs, text, sentences, lambda p: range(p >> 32, p & 0xFFFFFFFF))
+
+
+def without(docs: DataFrame, runs: DataFrame, text: str, cut: Callable[[str], list[str]], covers: Callable[[int], range]) -> DataFrame:
+    """docs without the pieces that the repeated ones of the runs cover."""
     columns = docs.columns
-    joined = docs.join(repeated_places(docs, text, size, words).withColumnRenamed("starts", "__starts"), "doc_id", "left").select(*columns, "__starts")
+    joined = docs.join(repeated_places(runs).withColumnRenamed("starts", "__starts"), "doc_id", "left").select(*columns, "__starts")
     at, last = columns.index(text), len(columns)
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
@@ -87,8 +118,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, w
         for batch in batches:
             texts, counts, gone = [], [], []
             for t, starts in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist(), strict=True):
-                pieces = sentences(t) if t else []
-                covered = {p + k for p in starts or () for k in range(size) if p + k < len(pieces)}
+                pieces = cut(t) if t else []
+                covered = {k for p in starts or () for k in covers(p) if k < len(pieces)}
                 texts.append("".join([p for i, p in enumerate(pieces) if i not in covered]) if covered else t)
                 counts.append(len(pieces))
                 gone.append(sorted(covered))
@@ -103,6 +134,10 @@ def deduplicated_documents(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs.select("doc_id", "text")).withColumn("removed", F.array_join("removed", ","))
 
 
+def documents_without_passages(docs: DataFrame) -> DataFrame:
+    return remove_passages(docs.select("doc_id", "text")).withColumn("removed", F.array_join("removed", ","))
+
+
 def oracle(size: int = SENTENCES, words: int = WORDS) -> str:
     """DuckDB SQL for deduplicated_documents, for texts whose white space is ASCII; runs are compared by their text."""
     bare = lambda i: f"trim(p[{i}], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"

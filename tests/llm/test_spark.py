@@ -109,6 +109,16 @@ def test_dedup_by_brute_force(spark, size, words):
     assert got == brute_dedup(docs, size, words)
 
 
+def test_passages_of_short_sentences(spark):
+    """Every passage of at least so many sentences and words goes, to its ends; texts that never have so many go as copies."""
+    short = " ".join(f"Item {i} is in this list." for i in range(10))
+    uneven = "One sentence of this passage has as many words as it takes to be a run alone. Yes. No."
+    docs = [(1, f"{short} The first goes on in one way."), (2, f"Another begins with its own words. {short}"), (3, uneven + " Then more of the third."), (4, "The fourth has a start. " + uneven + " And an end."), (5, "A b. C d."), (6, "A b. C d."), (7, "A b. C e.")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.documents_without_passages(frame).collect()}
+    assert got == {**dict(docs), 2: "Another begins with its own words. ", 4: "The fourth has a start. And an end.", 6: ""}
+
+
 # --- components and SimHash ------------------------------------------------------------------------------------------
 
 
