@@ -17,14 +17,18 @@ loses to the other); a null doc_id is not deduplicated; runs that overlap themse
 That rule, which oracle() has as SQL, leaves out runs of SENTENCES sentences with fewer words. passages() has no such cut: from
 each sentence on, and back from each sentence, a run is extended until it has SENTENCES sentences and WORDS words, so every
 passage of that many is covered to its ends, however short its sentences are; a text that never gets there is one run.
+It works on units(): sentences by the stops of all scripts, those of over LONG words split again between words where a hash
+of the two words before says so, hence at the same places in every copy. Letters of scripts without spaces count as half a
+word each and may be split between. A text that is a single unit is one run.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +40,15 @@ from .common import map_batches
 
 SENTENCES, WORDS = 2, 15
 END = re.compile(r"[.!?]\s+|\n\s*")
+#: Sentences of over LONG words are split after one in SPLIT word pairs.
+LONG, SPLIT = 15, 8
+#: Ends of sentences in all scripts. Full-width, Ethiopic, Tibetan and similar stops need no space after them.
+CLOSING = r"[\"')\]}»”’」』】）〉》]*"
+UNIT_END = re.compile(rf"[.!?…‼-⁉]+{CLOSING}\s+|[。．！？｡︒﹒﹖﹗।॥۔؟։።፧፨။၊។៕᙮᠃᠉᭞᭟꓿꘎꛳།༎𑁇𑁈]+{CLOSING}\s*|[\n\r\v\f\x1c-\x1e\x85\u2028\u2029]\s*")
+#: Letters of scripts that are written without spaces between words.
+UNSPACED = "\u0e00-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\u1950-\u19df\u1a20-\u1aad\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua9e0-\ua9fe\uaa60-\uaa7f\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+LETTER = re.compile(f"[{UNSPACED}]")
+TOKEN = re.compile(f"\\s*(?:[{UNSPACED}]|[^\\s{UNSPACED}]+)\\s*")
 
 
 def sentences(text: str) -> list[str]:
@@ -46,6 +59,37 @@ def sentences(text: str) -> list[str]:
     return [text[a:b] for a, b in zip([0, *ends], ends, strict=False) if b > a]
 
 
+def n_words(text: str) -> int:
+    """Words between white space; two letters of a script without it are one."""
+    return len(text.split()) + (0 if text.isascii() else len(LETTER.findall(text)) // 2)
+
+
+@functools.lru_cache(65_536)
+def seed(word: str) -> int:
+    return xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def units(text: str) -> list[str]:
+    """Sentences of any script, long ones in parts; together they are the text."""
+    ends = [m.end() for m in UNIT_END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    out = []
+    for a, b in zip([0, *ends], ends, strict=False):
+        at = a
+        if b - a > LONG and n_words(text[a:b]) > LONG:
+            tokens = TOKEN.findall(text, a, b)
+            seeds = [seed(t.strip()) for t in tokens]
+            start = 0
+            for i, (x, y) in enumerate(pairwise(seeds), 2):
+                if (3 * x + y) % SPLIT == 0:
+                    out.append("".join(tokens[start:i]))
+                    at, start = at + len(out[-1]), i
+        if at < b:
+            out.append(text[at:b])
+    return out
+
+
 def spans(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[tuple[int, bytes]]:
     """Position and 16-byte hash of every run of size sentences with at least so many words."""
     bare = [p.strip() for p in pieces]
@@ -59,16 +103,17 @@ def spans(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[
 
 def passages(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[tuple[int, bytes]]:
     """Place (start << 32 | end) and 16-byte hash of the shortest runs of at least size sentences and so many words from each
-    sentence on and back from each sentence; of the whole text if it has none."""
+    sentence on, and back from each that ends none of these; of the whole text if it has none."""
     bare = [p.strip() for p in pieces]
-    total = list(accumulate((len(b.split()) for b in bare), initial=0))
+    total = list(accumulate(map(n_words, bare), initial=0))
     n = len(bare)
-    ahead = ((i, max(i + size, bisect_left(total, total[i] + words))) for i in range(n))
-    back = ((min(j - size, bisect_right(total, total[j] - words) - 1), j) for j in range(1, n + 1))
-    found = {(i, j) for i, j in ahead if j <= n} | {(i, j) for i, j in back if i >= 0}
+    ahead = [bisect_left(total, total[i] + words, min(i + size, n + 1)) for i in range(n)]
+    found = {i << 32 | j for i, j in enumerate(ahead) if j <= n}
+    # where a run from a sentence on ends, those that end with it need none of their own
+    found |= {i << 32 | j for j in set(range(size, n + 1)).difference(ahead) if (i := min(j - size, bisect_right(total, total[j] - words, 0, j) - 1)) >= 0}
     if not found and total[n]:
-        found = {(0, n)}
-    return [(i << 32 | j, xxhash.xxh128_digest("\n".join(bare[i:j]).encode("utf-8", "surrogatepass"))) for i, j in sorted(found)]
+        found = {n}
+    return [(p, xxhash.xxh128_digest("\n".join(bare[p >> 32 : p & 0xFFFFFFFF]).encode("utf-8", "surrogatepass"))) for p in sorted(found)]
 
 
 def all_spans(docs: DataFrame, text: str, runs: Callable[[str], list[tuple[int, bytes]]], kind: str = "int") -> DataFrame:
@@ -90,7 +135,7 @@ def all_spans(docs: DataFrame, text: str, runs: Callable[[str], list[tuple[int,
 
 def repeated_places(runs: DataFrame) -> DataFrame:
     """doc_id and the sorted places of its runs that aren't the first of their kind."""
-    first = runs.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max(F.struct("doc_id", "pos")).alias("last")).where("first != last")
+    first = runs.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = runs.join(first, ["h1", "h2"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("pos") != F.col("first.pos")))
     return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
 
@@ -103,8 +148,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, w
 
 def remove_passages(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """As remove_repeats, with the runs of passages()."""
-    runs = all_spans(docs, text, lambda t: passages(sentences(t), size, words), "long")
-    return without(docs, runs, text, sentences, lambda p: range(p >> 32, p & 0xFFFFFFFF))
+    runs = all_spans(docs, text, lambda t: passages(units(t), size, words), "long")
+    return without(docs, runs, text, units, lambda p: range(p >> 32, p & 0xFFFFFFFF))
 
 
 def without(docs: DataFrame, runs: DataFrame, text: str, cut: Callable[[str], list[str]], covers: Callable[[int], range]) -> DataFrame:

@@ -119,6 +119,26 @@ def test_passages_of_short_sentences(spark):
     assert got == {**dict(docs), 2: "Another begins with its own words. ", 4: "The fourth has a start. And an end.", 6: ""}
 
 
+def test_passages_of_all_scripts(spark):
+    """Copies of one long sentence, passages in it, and in scripts with other stops or without spaces."""
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    letters = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    one, inside, han, lines = words(60), words(120), "".join(letters(18) + "。" for _ in range(4)), "।".join(words(9) for _ in range(3)) + "।"
+    docs = [(1, one), (2, one), (3, f"{words(30)} {inside} {words(30)}"), (4, f"{words(40)} {inside} {words(20)}"), (5, han + letters(30)), (6, letters(25) + "。" + han), (7, lines + words(8)), (8, words(8) + "।" + lines), (9, letters(200)), (10, words(9))]
+    docs.append((11, docs[8][1]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.documents_without_passages(frame).collect()}
+    old = dict(docs)
+    assert all(got[d] == old[d] for d in (1, 3, 5, 7, 9, 10))
+    assert got[2] == "" and got[11] == ""
+    assert got[6] == old[6][:26] and got[8] == old[8].split("।")[0] + "।"
+    left = got[4].split()
+    assert left[:38] == old[4].split()[:38] and left[-18:] == old[4].split()[-18:] and len(left) < 60 + 40
+    for t in [*old.values(), "Ja. Nein!\u2028Ο.", "", " ", "。。a", "x" * 500]:
+        assert "".join(substring_dedup.units(t)) == t
+
+
 # --- components and SimHash ------------------------------------------------------------------------------------------
 
 
