@@ -1,8 +1,8 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton is built over a bounded sample of labelled text. A text is parsed greedily
-against each automaton: a phrase is the longest stretch that occurs in the sample, a symbol that no sample has is a
-phrase of its own. Phrases are normalised as phrases * log2(sample length) / text length, an estimate of the cross
+against each automaton: a phrase is the longest stretch that occurs in the sample, a symbol that the sample
+lacks is a phrase of its own. Phrases are normalised as phrases * log2(sample length) / text length, an estimate of the cross
 entropy in bits per symbol; the language with the fewest normalised phrases wins, ties going to the first name.
 
 Texts are folded to symbols: letters lower-cased, each run of other characters one separator. The parse is cut every
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import held_out, map_batches, training_sample
 
-#: Bounds of the training sample: whole texts and characters for each language; kinds of letter.
-SAMPLE_TEXTS, SAMPLE_CHARS, SYMBOLS, BLOCK = 60, 24_000, 160, 4096
+#: Bounds of the training sample: whole texts and characters for each language; symbols in a block of the parse.
+SAMPLE_TEXTS, SAMPLE_CHARS, BLOCK = 60, 24_000, 4096
 #: Steepness of the score over the difference in bits per symbol.
 STEEP = 4.0
 UND = "und"
@@ -72,49 +72,69 @@ def code_points(text: str) -> np.ndarray:
 
 
 class Model:
-    """Automata of all languages in one transition table.
+    """Automata of all languages in one transition table of which only the transitions that exist are stored.
 
-    table[state * width + symbol] is 2 * (next state * width) + 1 if a phrase starts at this symbol, else without the 1.
+    A state's transitions lie at its base + symbol; owner says whose place it is. Elsewhere a phrase ends and the next one
+    starts at the symbol: at the root's transition, or at the root if the language lacks the letter.
     """
 
-    def __init__(self, samples: dict[str, list[str]], symbols: int = SYMBOLS):
+    def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         letters: dict[str, int] = {}
         for texts in samples.values():
             for ch in folded(texts):
                 if ch.isalpha():
                     letters[ch] = letters.get(ch, 0) + 1
-        kept = sorted(letters, key=lambda ch: (-letters[ch], ch))[:symbols]
-        #: 0 is the separator, 1 a letter that no sample has.
-        self.letters = {ch: i + 2 for i, ch in enumerate(kept)}
-        self.width = len(kept) + 2
-        self.lut = np.array([1 if chr(i).isalpha() else 0 for i in range(1 << 16)], np.uint8)
-        for ch, i in self.letters.items():
-            if ord(ch) < 1 << 16:
-                self.lut[ord(ch)] = i
-        roots, rows, self.bits = [], [], []
-        offset = 0
+        #: 0 is the separator, 1 a letter that no sample has; frequent letters have small symbols.
+        self.letters = {ch: i + 2 for i, ch in enumerate(sorted(letters, key=lambda ch: (-letters[ch], ch)))}
+        self.width = len(self.letters) + 2
+        self.lut = np.array([self.letters.get(chr(i), 1 if chr(i).isalpha() else 0) for i in range(0x110000)], np.int32)
+        flats, gotos, offsets, self.bits = [], [], [], []
         for language in self.languages:
             flat, ends = self.symbols(samples[language])
-            goto = automaton(flat[: int(ends[-1])].tolist() if len(ends) else [])
-            root = goto[0]
-            to = np.zeros((len(goto), self.width), np.int64)
-            to[:] = [2 * (offset + root.get(c, 0)) * self.width + 1 for c in range(self.width)]
-            for state, row in enumerate(goto[1:], 1):
-                for c, q in row.items():
-                    to[state, c] = 2 * (offset + q) * self.width
-            rows.append(to)
-            roots.append(offset * self.width)
+            offsets.append(sum(map(len, gotos)))
+            gotos.append(automaton(flat[: int(ends[-1])].tolist() if len(ends) else []))
             self.bits.append(np.log2(max(2, len(flat))))
-            offset += len(goto)
-        table = np.concatenate([*rows, np.zeros((1, self.width), np.int64)]).ravel()
-        self.table = table.astype(np.int32) if table.max(initial=0) < 2**31 else table
-        self.roots = np.array(roots, self.table.dtype)
+        rows = [(offset + state, row, offset) for goto, offset in zip(gotos, offsets, strict=True) for state, row in enumerate(goto)]
+        base = self._places([row for _, row, _ in rows])
+        size = int(base.max(initial=0)) + self.width
+        self.base, self.owner, self.next = base, np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        for state, row, offset in rows:
+            for c, q in row.items():
+                self.owner[base[state] + c] = state
+                self.next[base[state] + c] = offset + q
+        self.roots = np.array(offsets, np.int32)
+        #: The root's transitions on every symbol.
+        self.starts = np.array([[o + goto[0].get(c, 0) for c in range(self.width)] for goto, o in zip(gotos, offsets, strict=True)], np.int32).reshape(len(gotos), self.width)
+
+    def _places(self, rows: list[dict[int, int]]) -> np.ndarray:
+        """A base for each row at which its symbols meet no other row's."""
+        base = np.zeros(len(rows), np.int32)
+        taken = bytearray(self.width + sum(map(len, rows)) * 2)
+        free = 0
+        for i in sorted(range(len(rows)), key=lambda i: -len(rows[i])):
+            symbols = list(rows[i])
+            if not symbols:
+                continue
+            while taken[free]:
+                free += 1
+            least = min(symbols)
+            at = max(free - least, 0)
+            while True:
+                if at + self.width >= len(taken):
+                    taken.extend(bytes(len(taken)))
+                if not any(taken[at + c] for c in symbols):
+                    break
+                at = max(taken.index(0, at + least + 1) - least, at + 1)
+            base[i] = at
+            for c in symbols:
+                taken[at + c] = 1
+        return base
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The texts' symbols in one array, without repeated separators, and each text's end in it."""
         points = code_points(folded(texts))
-        flat = np.where(points < 1 << 16, self.lut[np.minimum(points, (1 << 16) - 1)], 1).astype(np.uint8)
+        flat = self.lut[points]
         keep = flat != 0  # a separator stays after a letter alone, also at the start of a text
         keep[1:] |= flat[:-1] != 0
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
@@ -139,9 +159,12 @@ class Model:
         count = np.zeros((n, len(at)), np.int32)
         for t in range(int(size[0]) if len(size) else 0):
             a = int(active[t])
-            got = self.table[state[:, :a] + flat[at[:a] + t]]
-            count[:, :a] += got & 1
-            state[:, :a] = got >> 1
+            now, symbol = state[:, :a], flat[at[:a] + t]
+            place = self.base[now] + symbol
+            stays = self.owner[place] == now
+            # at a root, a letter starts a phrase whether the language has it or not
+            count[:, :a] += ~stays | (now == self.roots[:, None])
+            state[:, :a] = np.where(stays, self.next[place], self.starts[:, symbol])
         total = np.zeros((n, len(texts)), np.int64)
         for i in range(n):
             total[i] = np.bincount(owner, weights=count[i], minlength=len(texts))

@@ -53,6 +53,18 @@ def test_language_blocks_and_edges(monkeypatch):
     assert model.predict(ODD)[0][0] == "und"
 
 
+def test_language_of_many_letters():
+    """Thousands of letters, also beyond U+FFFF, are told apart; a letter that no sample has ends every phrase."""
+    rng = random.Random(3)
+    alphabets = {"han": range(0x4E00, 0x5A00), "kana": range(0x5A00, 0x6600), "hangul": range(0xAC00, 0xB800), "far": range(0x20000, 0x20C00)}
+    words = {k: ["".join(chr(rng.choice(alphabets[k])) for _ in range(3)) for _ in range(900)] for k in alphabets}
+    make = lambda k, n: "".join(rng.choice(words[k]) for _ in range(n))
+    model = language_id.Model({k: [make(k, 3000)] for k in alphabets})
+    total, lengths, _ = model.phrases([make(k, 100) for k in alphabets] + ["ηθικλ" * 40])
+    assert (total[:, -1] >= 200).all()  # one phrase for each letter
+    assert model.predict([make(k, 300) for k in alphabets])[0] == list(alphabets)
+
+
 # --- tokens ----------------------------------------------------------------------------------------------------------
 
 
