@@ -46,6 +46,24 @@ TEMPLATES = [
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("all-rights-reserved", "all rights reserved"),
 ]
+#: The conditions of the BSD licences one by one, so that holders may have long names.
+TEMPLATES.append(("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<var 0-1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<var 0-1>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution <<opt>><<var 0-1>> all advertising materials mentioning features or use of this software must display the following acknowledgement this product includes software developed by <<var 1-30>><</opt>> <<opt>><<var 0-1>> neither the name of <<var 1-30>> may be used to endorse or promote products derived from this software without specific prior written permission<</opt>> this software is provided by <<var 1-30>> as is and any express or implied warranties"))
+#: Creative Commons licences: the part of the label, then the words of the long form.
+COMMONS = {"by": ["attribution"], "by-sa": ["attribution sharealike", "attribution share alike"], "by-nd": ["attribution noderivatives", "attribution no derivatives", "attribution noderivs"], "by-nc": ["attribution noncommercial", "attribution non commercial"], "by-nc-sa": ["attribution noncommercial sharealike", "attribution non commercial share alike"], "by-nc-nd": ["attribution noncommercial noderivatives", "attribution non commercial no derivatives", "attribution noncommercial noderivs"]}
+for _part, _names in COMMONS.items():
+    _short = _part.replace("-", " ")
+    TEMPLATES += [(f"cc-{_part}", f"cc {_short} license"), (f"cc-{_part}", f"cc {_short} licence")]
+    for _v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        _n = _v.replace(".", " ")
+        TEMPLATES += [(f"cc-{_part}-{_v}", t) for t in (f"cc {_short} {_n}", f"creativecommons org licenses {_short} {_n}", *(f"creative commons {x} {_n}" for x in _names))]
+TEMPLATES += [("cc0-1.0", t) for t in ("cc0 1 0", "licensed under cc0", "creativecommons org publicdomain zero 1 0", "creative commons zero", "creative commons cc0")]
+for _label, _name, _v in [("lgpl-2.0", "library", "2"), ("lgpl-2.1", "lesser", "2 1"), ("lgpl-3.0", "lesser", "3"), ("agpl-3.0", "affero", "3")]:
+    TEMPLATES.append((_label, f"under the <<opt>>terms of the<</opt>> gnu {_name} general public license <<opt>>as published by the free software foundation<</opt>> <<opt>>either<</opt>> version {_v}"))
+for _v in "12":
+    TEMPLATES += [(f"epl-{_v}.0", f"eclipse public license <<opt>>v<</opt>> <<opt>>version<</opt>> {_v} 0"), (f"epl-{_v}.0", f"eclipse public license v{_v} 0")]
+#: Labels whose SPDX identifier is the label; CC identifiers are short forms above.
+TEMPLATES += [(_id, "spdx license identifier " + _id.replace("-", " ").replace(".", " ")) for _id in ("gpl-2.0", "gpl-3.0", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0", "mpl-1.1", "mpl-2.0", "epl-1.0", "epl-2.0", "isc", "cc0-1.0", "unlicense", "bsl-1.0", "zlib", "0bsd", "artistic-2.0", "cddl-1.0", "eupl-1.2", "ms-pl", "wtfpl")]
+TEMPLATES += [("bsd", f"spdx license identifier bsd {_n} clause") for _n in "1234"]
 MARK = re.compile(r"<<opt>>|<</opt>>|<<var (\d+)-(\d+)>>")
 
 
@@ -87,6 +105,8 @@ class Automaton:
         run = self._needs()
         #: A word and a run of words that every match holds.
         self.rare, self.needs = max(run, key=len), phrase_pattern(run)
+        #: The run's first two words, which many templates share.
+        self.gate = tuple(run[:2])
 
     def closure(self, states: set[tuple[int, int]]) -> frozenset[tuple[int, int]]:
         out, todo = set(), list(states)
@@ -158,6 +178,11 @@ def compiled() -> tuple[dict[str, re.Pattern], list[tuple[str, Automaton]]]:
     return {p: phrase_pattern(p.split()) for p in PHRASES}, [(label, Automaton(t)) for label, t in TEMPLATES]
 
 
+@functools.cache
+def gate_pattern(words: tuple[str, ...]) -> re.Pattern:
+    return re.compile(GAP.join(map(re.escape, words)))
+
+
 #: Bytes of words to "w", others to " ".
 WORD_BYTES = bytes(ord("w" if b >= 0x80 or WORD.match(chr(b)) else " ") for b in range(256))
 
@@ -180,8 +205,11 @@ def scan(text: str | None) -> dict:
             base.add(PHRASES[phrase])
     words: list[str] | None = None
     spans = {}
+    gates: dict[tuple[str, ...], bool] = {}
     for label, automaton in automata:
-        if automaton.rare in text and label not in spans and automaton.needs.search(text):
+        if automaton.gate not in gates:
+            gates[automaton.gate] = gate_pattern(automaton.gate).search(text) is not None
+        if gates[automaton.gate] and automaton.rare in text and label not in spans and automaton.needs.search(text):
             words = words if words is not None else WORD.findall(text)
             if (span := automaton.find(words)) is not None:
                 spans[label] = span

@@ -279,6 +279,19 @@ def test_license_scan():
         assert license_scan.scan(t)["n_words"] == len(license_scan.WORD.findall((t or "").lower()))
 
 
+def test_license_families():
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. {} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES"
+    third = "Neither the name of the {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    four = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization. 4. " + third
+    want = {
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "a Creative Commons Attribution-ShareAlike 3.0 Unported licence": "cc-by-sa-3.0", "https://creativecommons.org/licenses/by-nd/4.0/": "cc-by-nd-4.0", "CC0 1.0": "cc0-1.0",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3": "agpl-3.0,gpl", "under the GNU Lesser General Public License version 2.1": "gpl,lgpl-2.1",
+        "Eclipse Public License v2.0": "epl-2.0", "SPDX-License-Identifier: LGPL-3.0-or-later": "lgpl-3.0",
+        bsd.format(""): "bsd", bsd.format("3. " + third.format("University of a Town with a Long Name")): "bsd", bsd.format(four.format("organization")): "bsd", "a copy was sent cc by mail": "",
+    }
+    assert {t: license_scan.scan(t)["labels"] for t in want} == want
+
+
 def test_automata():
     a = license_scan.Automaton("a <<opt>>b <<opt>>c<</opt>><</opt>> d <<var 1-2>> e")
     ok = ["a d x e", "a b d x e", "a b c d x y e"]
