@@ -522,11 +522,24 @@ def srt02(spark, d):
     return rank.filing_detail(s, f, m, m).select("ticker", "accession", "section", "acceptance_dt").orderBy(*rank.detail_order()).limit(500)
 
 
+@query("srt02_all", "SELECT ticker, accession, section, acceptance_dt FROM v_quarterly ORDER BY ticker, acceptance_dt DESC, section, accession")
+def srt02_all(spark, d):
+    """srt02 without its limit."""
+    s, f, m = driver.volume(spark, d)
+    return rank.filing_detail(s, f, m, m).select("ticker", "accession", "section", "acceptance_dt").orderBy(*rank.detail_order())
+
+
 @query("srt03", "SELECT ticker, decile_mdna FROM v_ranks ORDER BY decile_mdna DESC NULLS LAST, ticker LIMIT 50")
 def srt03(spark, d):
     return volume_ranks(spark, d).orderBy(*rank.rank_order()).select("ticker", "decile_mdna").limit(50)
 
 
+@query("srt03_all", "SELECT ticker, decile_mdna FROM v_ranks ORDER BY decile_mdna DESC NULLS LAST, ticker")
+def srt03_all(spark, d):
+    """srt03 without its limit."""
+    return volume_ranks(spark, d).orderBy(*rank.rank_order()).select("ticker", "decile_mdna")
+
+
 @query("srt04", "SELECT accession, filing_date FROM filings ORDER BY filing_date, accession LIMIT 10")
 def srt04(spark, d):
     return diagnose.oldest(driver.filings(spark, d).select("accession", "filing_date"), 10)
@@ -555,6 +568,13 @@ def set01(spark, d):
     return f.where("cast(accession as bigint) % 2 = 0").withColumn("block", F.lit("recent")).unionByName(f.where("cast(accession as bigint) % 3 = 0").withColumn("block", F.lit("extra")))
 
 
+@query("set01_all", "SELECT accession, 'recent' AS block FROM v_filings WHERE accession::BIGINT % 2 = 0 UNION ALL SELECT accession, 'extra' FROM v_filings WHERE accession::BIGINT % 2 <> 0 OR accession::BIGINT % 3 = 0")
+def set01_all(spark, d):
+    """set01 with blocks that together hold every filing."""
+    f = driver.volume(spark, d)[1].select("accession")
+    return f.where("cast(accession as bigint) % 2 = 0").withColumn("block", F.lit("recent")).unionByName(f.where("cast(accession as bigint) % 2 <> 0 or cast(accession as bigint) % 3 = 0").withColumn("block", F.lit("extra")))
+
+
 @query("set02", "SELECT cik, min(bucket) AS bucket FROM (SELECT cik, 0 AS bucket FROM v_filings WHERE accession::BIGINT % 2 = 0 UNION ALL SELECT cik, 1 FROM v_filings) GROUP BY cik")
 def set02(spark, d):
     f = driver.volume(spark, d)[1]

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lexforge.plans import registry
+from lexforge.sources import driver
 
 NAMES = [n for n in entry.queries() if not n.startswith("op") and n != "pipeline"]
 
@@ -32,5 +34,15 @@ def test_query(spark, sf, db, name):
     assert sorted(pick(r, found.columns) for r in rows) == sorted(pick(r, want.columns) for r in want.fetchall())
 
 
+def test_all_rows(spark, sf, db):
+    """The sorts and the union of blocks lose no row."""
+    got = {name: entry.queries()[name](spark, sf).collect() for name in ("srt02_all", "srt03_all", "set01_all")}
+    filings = {r["accession"] for r in driver.volume(spark, sf)[1].select("accession").collect()}
+    assert {r["accession"] for r in got["set01_all"]} == filings
+    assert len(got["srt03_all"]) == registry.volume_ranks(spark, sf).count() > 50
+    rows = sorted(got["srt02_all"], key=lambda r: (r["section"], r["accession"]))
+    assert len(rows) > 500 and got["srt02_all"] == sorted(sorted(rows, key=lambda r: r["acceptance_dt"], reverse=True), key=lambda r: r["ticker"])
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
