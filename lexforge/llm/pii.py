@@ -50,13 +50,15 @@ CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóú", "äöü", "àèìòù
 CLASS_OF = {ch: c for group in CLASSES for c in (group, group.upper()) for ch in c}
 DIGITS, HEX, HEX_UP, UPPER_DIGITS = "0123456789", "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 LOWER_LETTERS, UPPER_LETTERS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Longer forms go into tweaks as digests, so that the work is in proportion to a value's length.
+LONG_FORM = 300
 #: Capitalised words of any of the scripts.
 CAP = r"[A-ZÀ-ÖØ-ÞА-ЯΆ-Ϋ][a-zà-öø-ÿ\u0103-\u017fа-яά-ώ]+"
 
 #: Kind and pattern of each entity; what is replaced is the group `v` if there is one.
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[\w+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,18}(?![\w-])",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<v_key>[A-Z0-9]{16})(?![A-Za-z0-9])|(?i:\b(?:password|passwd|pwd|token|secret|api_key|apikey)\b\s{0,3}[=:]\s{0,3}[\"']?)(?P<v_word>[A-Za-z0-9_+/.-]{8,200})",
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<v_key>[A-Z0-9]{16})(?![A-Za-z0-9])|(?i:(?<![A-Za-z0-9])(?:password|passwd|pwd|token|secret|api_key|apikey)\b\s{0,3}[=:]\s{0,3}[\"']?)(?P<v_word>[A-Za-z0-9_+/.-]{8,})",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\d-])|(?<![\w+])\+\d{7,15}(?!\d)",
@@ -120,7 +122,7 @@ class Surrogates:
             if x < n:
                 return x
 
-    def string(self, text: str, alphabets: list[str | None], tweak: str, valid: Callable[[str], bool] = lambda _: True) -> str:
+    def string(self, text: str, alphabets: list[str | None], tweak: str, valid: Callable[[str], bool] | None = None) -> str:
         """A permutation of the strings whose characters come from the alphabets (None: fixed) and which are valid, as text is.
 
         Strings of over 24 free characters are permuted in pieces, each with its place and the fixed characters as tweak.
@@ -128,6 +130,8 @@ class Surrogates:
         free = [i for i, a in enumerate(alphabets) if a]
         out = list(text)
         form = tweak + "/" + "".join("\0" if a else c for a, c in zip(alphabets, text, strict=True))
+        if len(form) > LONG_FORM:
+            form = tweak + "/" + hashlib.sha256(form.encode("utf-8", "surrogatepass")).hexdigest()
         for at in range(0, len(free), 24):
             part = free[at : at + 24]
             n, x = 1, 0
@@ -136,18 +140,17 @@ class Surrogates:
                 x = x * len(alphabets[i]) + alphabets[i].index(text[i])
             sizes = ",".join(str(len(alphabets[i])) for i in part)
             y = self.permute(x, n, f"{form}/{at}/{sizes}")
-            while not valid("".join(made := self._write(out, part, alphabets, y))):
+            self._write(out, part, alphabets, y)
+            while valid and not valid("".join(out)):
                 y = self.permute(y, n, f"{form}/{at}/{sizes}")
-            out = made
+                self._write(out, part, alphabets, y)
         return "".join(out)
 
     @staticmethod
-    def _write(out: list[str], part: list[int], alphabets: list, y: int) -> list[str]:
-        out = list(out)
+    def _write(out: list[str], part: list[int], alphabets: list, y: int) -> None:
         for i in reversed(part):
             y, d = divmod(y, len(alphabets[i]))
             out[i] = alphabets[i][d]
-        return out
 
     def _replace(self, kind: str, text: str, gender: str = "") -> str:
         return getattr(self, f"_{kind}")(text, gender) if kind in ("name",) else getattr(self, f"_{kind}")(text)

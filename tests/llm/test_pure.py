@@ -253,6 +253,16 @@ def test_surrogates_are_distinct(kind):
     assert len(got) == len(originals) and not any(made.replace(kind, x) == x for x in originals)
 
 
+def test_secrets_are_replaced_whole():
+    rng = random.Random(5)
+    made = pii.Surrogates(b"k")
+    for n in (8, 200, 201, 300, 1000, 50_000):
+        value = "".join(rng.choice("ABCXYZabcxyz0123456789") for _ in range(n))
+        out, found = pii.substitute(f"see db_password={value}, then ACCESS_TOKEN={value} and x-api_key: {value}.", made)
+        assert [e["kind"] for e in found] == ["secret"] * 3
+        assert not any(value[i : i + 8] in out for i in range(0, n - 7, 8))
+
+
 def test_permutation_is_one_cycle():
     made = pii.Surrogates(b"z")
     for n in (2, 3, 10, 37, 100):
