@@ -2,7 +2,7 @@
 
 Entities: e-mail addresses, telephone numbers, IPv4 addresses, payment card numbers, national ids (ddd-dd-dddd), account
 numbers (IBAN), secrets (access keys, password= and token= values) and personal names after a title or made of a known
-given name and a surname.
+given name and a surname; within a text, each part of a detected name wherever it stands alone.
 
 A surrogate is the image of the entity under a keyed permutation of all strings of its form, so equal entities get equal
 surrogates everywhere (coreference), different ones get different surrogates (distinctness), and no table of all entities
@@ -25,6 +25,7 @@ import hashlib
 import hmac
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -33,10 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import map_batches
 
-#: Known given names by script and gender; fixed values.
+#: Known given names by script and gender; fixed values, common ones and not all that there are.
 GIVEN = {
-    ("latin", "f"): "Alice Beatrice Charlotte Deborah Eleanor Florence Gabriela Hannah Isabelle Jacqueline Katharina Louise Margaret Natalie Olivia Patricia Rebecca Susanne Theresa Veronica".split(),
-    ("latin", "m"): "Albert Benjamin Christopher Dominic Edward Frederick Gregory Harold Immanuel Jonathan Kenneth Laurence Matthew Nicholas Oliver Patrick Richard Sebastian Theodore Vincent".split(),
+    ("latin", "f"): "Alice Beatrice Charlotte Deborah Eleanor Florence Gabriela Hannah Isabelle Jacqueline Katharina Louise Margaret Natalie Olivia Patricia Rebecca Susanne Theresa Veronica Mary Maria Anna Anne Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Lisa Nancy Sandra Ashley Emily Michelle Amanda Melissa Stephanie Laura Emma Sophie Julia Ursula Monika Petra Sabine Claudia Martina Marie Camille Nathalie Sylvie Carmen Ana Lucia Pilar Giulia Francesca".split(),
+    ("latin", "m"): "Albert Benjamin Christopher Dominic Edward Frederick Gregory Harold Immanuel Jonathan Kenneth Laurence Matthew Nicholas Oliver Patrick Richard Sebastian Theodore Vincent John James Robert Michael William David Joseph Thomas Charles Daniel Anthony Steven Paul Andrew Joshua Kevin Brian George Timothy Ronald Jason Peter Henry Hans Klaus Wolfgang Jürgen Stefan Andreas Martin Pierre Jean Jacques Philippe François Michel José Juan Carlos Luis Miguel Antonio Giovanni Giuseppe".split(),
     ("cyrillic", "f"): "Анна Валентина Галина Екатерина Ирина Людмила Мария Наталья Ольга Светлана Татьяна Юлия".split(),
     ("cyrillic", "m"): "Александр Борис Виктор Григорий Дмитрий Иван Константин Михаил Николай Павел Сергей Юрий".split(),
     ("greek", "f"): "Αικατερίνη Βασιλική Γεωργία Ελένη Ιωάννα Μαρία Σοφία Χριστίνα".split(),
@@ -55,6 +56,8 @@ LONG_FORM = 300
 #: Capitalised words of any of the scripts.
 CAP = r"[A-ZÀ-ÖØ-ÞА-ЯΆ-Ϋ][a-zà-öø-ÿ\u0103-\u017fа-яά-ώ]+"
 
+WORDS = re.compile(rf"(?<!\w){CAP}(?!\w)")
+
 #: Kind and pattern of each entity; what is replaced is the group `v` if there is one.
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[\w+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,18}(?![\w-])",
@@ -294,10 +297,24 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def with_bare_names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """found and the places outside of it where a part of one of its names stands alone."""
+    parts = {p for start, end, kind, _ in found if kind == "name" for p in re.split(r"[ -]", text[start:end])}
+    if not parts:
+        return found
+    taken = [end for _, end, _, _ in found]
+    more = []
+    # words are taken whole and looked up, so that many names cost no more than few
+    for m in WORDS.finditer(text):
+        if m[0] in parts and not ((k := bisect_right(taken, m.start())) < len(found) and found[k][0] < m.end()):
+            more.append((m.start(), m.end(), "name", ""))
+    return sorted(found + more)
+
+
 def substitute(text: str, made: Surrogates) -> tuple[str, list[dict]]:
     parts, at, listed = [], 0, []
     back: dict[tuple[str, str], str] = {}
-    for start, end, kind, gender in entities(text):
+    for start, end, kind, gender in with_bare_names(text, entities(text)):
         original = text[start:end]
         surrogate = made.replace(kind, original, gender)
         if back.setdefault((kind, surrogate), original) != original:

@@ -263,6 +263,16 @@ def test_secrets_are_replaced_whole():
         assert not any(value[i : i + 8] in out for i in range(0, n - 7, 8))
 
 
+def test_bare_names_follow_the_detected_one():
+    out, found = pii.substitute("Smith came. Dr. Alice Smith left; later Alice, Smith's friend, and Smithson met Frau Anna-Lena Vogel. Vogel spoke, smith did not.", pii.Surrogates(b"k"))
+    given, last = found[1]["surrogate"].split()
+    vogel = found[4]["surrogate"].split()[-1]
+    assert out.startswith(f"{last} came. Dr. {given} {last} left; later {given}, {last}'s friend, and Smithson met Frau ")
+    assert out.endswith(f" {vogel}. {vogel} spoke, smith did not.") and "Vogel" not in out
+    for name in ("John Smith", "Mary Smith", "Pierre Dupont", "Hans Meier"):
+        assert len(pii.substitute(f"Then {name} spoke.", pii.Surrogates(b"k"))[1]) == 1
+
+
 def test_permutation_is_one_cycle():
     made = pii.Surrogates(b"z")
     for n in (2, 3, 10, 37, 100):
