@@ -174,13 +174,17 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> DataFrame
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every row."""
     rows = checkpointed(fingerprints(docs, text))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    return rows.join(least_of_components(rows, "doc_id").withColumnRenamed("least", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def least_of_components(rows: DataFrame, key: str) -> DataFrame:
+    """Each fingerprint fp and the least key of the rows of its component."""
+    nodes = rows.groupBy("fp").agg(F.min(key).alias("first"))
     found = connected_components(links(nodes.select("fp")))
     inside = found.withColumnRenamed("node", "fp").join(nodes, "fp")
-    least = inside.groupBy("component").agg(F.min("first").alias("component_id"))
-    linked = found.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    names = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return rows.join(names, "fp").select("doc_id", "fp", "component_id")
+    least = inside.groupBy("component").agg(F.min("first").alias("least"))
+    linked = found.join(least, "component").select(F.col("node").alias("fp"), "least")
+    return nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("least"))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -192,6 +196,9 @@ def groups_of_documents(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """One row of each component, all its columns kept: that of its smallest doc_id, of repeated ids any one. Rows without a doc_id stay."""
-    stay = near_duplicates(docs.select("doc_id", "text")).select(F.col("component_id").alias("doc_id")).distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component, all its columns kept: that of its smallest doc_id, of repeated ids that of the smallest text hash, of equal rows any one. Rows without a doc_id stay."""
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    rows = checkpointed(fingerprints(hashed, "text", ("doc_id", "h")).select("fp", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h")).alias("at")))
+    stay = least_of_components(rows, "at").select(F.col("least.doc_id").alias("doc_id"), F.col("least.h").alias("__h")).distinct()
+    kept = docs.withColumn("__h", F.xxhash64("text")).join(stay, ["doc_id", "__h"], "left_semi").dropDuplicates(["doc_id", "__h"])
+    return kept.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

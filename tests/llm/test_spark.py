@@ -201,6 +201,13 @@ def test_one_of_each_group_with_odd_rows(spark, odd):
     assert got == sorted(["1", "2", "4", "None"])
 
 
+def test_one_of_each_group_with_repeated_ids(spark):
+    a, b = "some words of the first text that nobody else has written", "quite another passage about rivers, hills and the sea"
+    for rows in ([(1, a), (1, b), (2, b)], [(1, b), (1, a), (2, b)], [(2, a), (1, b), (1, a)], [(1, a), (1, a), (1, b)]):
+        got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(r["text"] for r in got) == sorted((a, b)), rows
+
+
 # --- urls ------------------------------------------------------------------------------------------------------------
 
 PAGES = [
