@@ -3,21 +3,38 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Texts of so many bytes are work enough for a task.
+SPREAD_BYTES = 1 << 20
+
 
 def importable(spark: SparkSession | None = None) -> None:
-    """Let Python workers that are started from now on find this package where the driver has it."""
+    """Let Python workers that are started from now on find this package.
+
+    A local session's workers find it where the driver has it. To a cluster's executors, whose disks don't have the driver's
+    folders, it is sent as an archive, once a session.
+    """
     spark = spark or SparkSession.active()
-    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    context = spark.sparkContext
+    root, known = str(Path(__file__).resolve().parents[1]), context.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+        if not context.master.startswith("local"):
+            folder = tempfile.mkdtemp()
+            context.addPyFile(shutil.make_archive(f"{folder}/{Path(__file__).parent.name}", "zip", root, Path(__file__).parent.name))
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """The rows over all cores if their files give fewer partitions than there are: one file of long texts would otherwise be
-    one task. Inputs of more files than cores stay as they are read, without a shuffle."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if 0 < rows.rdd.getNumPartitions() < cores else rows
+    """The rows over all cores if they come in fewer partitions of many bytes each: one file of long texts would otherwise be
+    one task. What is shuffled is bounded by SPREAD_BYTES for each core and partition; larger inputs have small enough splits
+    of their own and stay as they are read."""
+    spark = rows.sparkSession
+    cores, parts = spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
+    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b")) if str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b").isdigit() else 128 << 20
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return rows.repartition(cores) if 0 < parts < cores and SPREAD_BYTES < size <= split * min(parts + 1, 8) else rows
