@@ -6,11 +6,13 @@ pair, from left to right. This gives what merging one pair at a time gives, sinc
 its parts; the loader checks that of the vocabulary.
 
 Normalising and splitting follow the vocabulary file: special tokens first, in the raw text; then NFC, lower case by
-single characters, words by its pattern, bytes as the byte-level alphabet, with `</w>` on a word's last symbol. As the
-file has no decoder, decoding joins the tokens with spaces.
+single characters, words by its pattern, bytes as the byte-level alphabet, with `</w>` on a word's last symbol; the Unicode
+tables are the fixed ones of the reference encoder, whatever versions of them Python has. As the file has no decoder,
+decoding joins the tokens with spaces.
 
 Defined cases: null is an empty text; an empty text has no tokens, the ids "" and the decoded text ""; lone surrogates
-can't occur in Spark's strings; words and texts of any length are taken whole; equal texts give equal results.
+can't occur in Spark's strings; words and texts of any length are taken whole; equal texts give equal results; columns of
+docs that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, replacing
 
 #: Words whose encoding a worker keeps; beyond this mean length it keeps none.
 CACHE, LONG = 250_000, 64
@@ -55,6 +57,53 @@ def latin(pattern: str) -> str:
     return pattern.replace(r"[\p{L}]", f"[{LATIN_L}]").replace(r"[\p{N}]", f"[{LATIN_N}]").replace(r"\p{White_Space}", LATIN_SPACE).replace(r"\p{L}", LATIN_L).replace(r"\p{N}", LATIN_N)
 
 
+#: Where the Unicode versions of the vocabulary's reference encoder differ from those of Python's own tables.
+#: It has the classes of Unicode 16, the lower case of 17 and, for composition, no mark that came after version 9.
+#: Letters and numbers up to version 16 that an older table lacks, then those that came later.
+LETTERS_ADDED = "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0"
+NUMBERS_ADDED = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+LETTERS_LATER = "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+NUMBERS_LATER = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+#: Capital letters (first, last) and the first of their small ones.
+CAPITALS = [(0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB)]
+#: Marks that the reference neither moves nor composes.
+UNMOVED = "7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF"
+
+
+def class_of(ranges: str) -> str:
+    """Hexadecimal ranges as the inside of a character class."""
+    return "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in ranges.split())
+
+
+CAPITAL = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in CAPITALS) + "]")
+SMALL = {c: c - a + to for a, b, to in CAPITALS for c in range(a, b + 1)}
+FIXED_MARK = re.compile(f"([{class_of(UNMOVED)}])")
+
+
+def composed(text: str) -> str:
+    """NFC, in which marks of UNMOVED are letters of their own."""
+    if FIXED_MARK.search(text):
+        return "".join([unicodedata.normalize("NFC", part) for part in FIXED_MARK.split(text)])
+    return unicodedata.normalize("NFC", text)
+
+
+def lowered(text: str) -> str:
+    """Lower case, character by character."""
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(SMALL) if CAPITAL.search(text) else text
+
+
+def general(pattern: str) -> str:
+    """The pattern of words with its Unicode classes as the reference has them, for the regex module."""
+    letters, numbers = rf"\p{{L}}{class_of(LETTERS_ADDED)}", rf"\p{{N}}{class_of(NUMBERS_ADDED)}"
+    later = class_of(LETTERS_LATER) + class_of(NUMBERS_LATER)
+    out = pattern.replace(r"[\p{L}]", f"[[{letters}]--[{later}]]").replace(r"[\p{N}]", f"[[{numbers}]--[{later}]]")
+    other = r"[^\s\p{L}\p{N}]"
+    if other not in out:
+        raise ValueError("the vocabulary's pattern of words is not the known one")
+    return "(?V1)" + out.replace(other, rf"(?:[^\p{{White_Space}}{letters}{numbers}]|[{later}])")
+
+
 class WordBpe:
     def __init__(self, spec: str):
         data = json.loads(spec)
@@ -80,9 +129,9 @@ class WordBpe:
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.made = np.array([m for _, _, m in pairs], np.int64)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        words = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
-        self.words = regex.compile(words)
-        self.latin_words = re.compile(latin(words))
+        words = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.words = regex.compile(general(words))
+        self.latin_words = re.compile(latin(words.replace(r"\s", r"\p{White_Space}")))
         self.numerals = [str(i) for i in range(self.size)]
         self.forget()
 
@@ -152,9 +201,7 @@ class WordBpe:
         return out
 
     def _words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        text = text.lower() if text.isascii() else lowered(composed(text))
         return (self.words if NOT_LATIN.search(text) else self.latin_words).findall(text)
 
     def encoded(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
@@ -208,8 +255,9 @@ def encode_texts(docs: DataFrame, path: str | None = None, text: str = "text", i
     """
     with open(path or word_bpe_path(), encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
-    at = docs.columns.index(text)
     extra = [("n_tokens", pa.int64(), "long")] + [("token_ids", pa.list_(pa.int32()), "array<int>")] * ids + [("ids_sha256", pa.string(), "string")] + [("decoded", pa.string(), "string")] * ids + [("decoded_sha256", pa.string(), "string")]
+    docs = replacing(docs, text, *(n for n, _, _ in extra))
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = from_spec(spec.value)

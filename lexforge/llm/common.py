@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
-from collections.abc import Iterator
-from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..runtime import importable
 
 #: Rows and bytes of one Arrow batch handed to Python, so that a worker's memory doesn't depend on the length of texts.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
@@ -31,11 +31,11 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers that are started from now on find this package where the driver has it."""
-    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
-        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+def replacing(docs: DataFrame, text: str, *made: str) -> DataFrame:
+    """docs without the columns whose names the operator gives its own; the text itself can't be one of them."""
+    if text in made:
+        raise ValueError(f"the text column has the name of a result: {text}")
+    return docs.drop(*(n for n in made if n in docs.columns))
 
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
@@ -55,10 +55,16 @@ def ascii_lower_column(column: Column) -> Column:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: what the session names in spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder for checkpoints: what the session names in spark.checkpoint.dir.
+
+    Where that is unset, a local session gets a folder of its own; on a cluster it must be set, as a folder of one machine
+    would be lost with it.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not configured and not re.match(r"local(\[[^,]*\])?$", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoints-"))
     return configured or context.getCheckpointDir()
 
@@ -85,18 +91,19 @@ def training_sample(labelled: DataFrame, label: str, texts: DataFrame, text: str
     which the counts of all labelled rows give, so about 2 * per_label keys of each label come to the driver, however many
     there are; the two tables aren't joined, the texts of the drawn keys alone are looked up. In the order of the keys'
     hashes, texts are taken while a label has no more than per_label of them and label_chars characters. A longer text is
-    passed over; if every text of a label is longer, its shortest one gives its middle label_chars characters. At most 200
-    labels are taken, the most frequent ones. A null text is an empty one; of texts with equal keys the first in order counts.
+    passed over; if every text of a label is longer, its shortest one gives its middle label_chars characters. Every label is
+    learned, so what is held grows with the number of labels, not of rows. A null text is an empty one; of texts with equal
+    keys the first in order counts.
     """
     labelled = labelled.where(F.col(label).isNotNull() & F.col(key).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(label).count().orderBy(F.desc("count"), label).limit(200).collect()}
+    counts = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}
     if not counts:
         return {}
     unit = F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
-    share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, (2 * per_label + 20) / n))).otherwise(share)
-    drawn = labelled.select(F.col(key).alias("k"), F.col(label).alias("v"), unit.alias("unit")).where(F.col("unit") < share).distinct().collect()
+    kind = next(f.dataType for f in labelled.schema if f.name == label)
+    shares = labelled.sparkSession.createDataFrame([(v, min(1.0, (2 * per_label + 20) / n)) for v, n in counts.items()], T.StructType([T.StructField("v", kind), T.StructField("share", T.DoubleType())]))
+    marked = labelled.select(F.col(key).alias("k"), F.col(label).alias("v"), unit.alias("unit")).join(F.broadcast(shares), "v")
+    drawn = marked.where("unit < share").select("k", "v", "unit").distinct().collect()
     order = sorted(drawn, key=lambda r: (r["unit"], str(r["k"]), str(r["v"])))
     rows = texts.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     found = rows.where(F.col("k").isin([r["k"] for r in order])).groupBy("k").agg(F.min(F.struct(F.length("t").alias("n"), F.xxhash64("t").alias("h"))).alias("x"))
@@ -121,3 +128,22 @@ def training_sample(labelled: DataFrame, label: str, texts: DataFrame, text: str
     cut = F.struct(F.length("t").alias("n"), F.xxhash64("t").alias("h"), F.substring(F.col("t"), start, F.lit(label_chars)).alias("t"))
     taken = {r["k"]: r["x"]["t"] for r in rows.where(F.col("k").isin(wanted)).groupBy("k").agg(F.min(cut).alias("x")).collect()} if wanted else {}
     return {value: [taken[k] for k in keys if k in taken] for value, keys in chosen.items() if keys}
+
+
+#: Of all rows, a key that has more than one in so many is a heavy one; there are fewer such keys than this.
+HEAVY = 10_000
+
+
+def join_on_counted(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n") -> DataFrame:
+    """rows joined with keys (one row each, n: how many of the rows have it), without a hot key in one task.
+
+    Fewer than HEAVY keys can have more than a HEAVY-th of all rows each; those are broadcast, a bound that holds at any size.
+    The others are joined by shuffles in which no key has more than that. keys is read several times: a written table is best.
+    """
+    total = keys.agg(F.sum(n)).first()[0] or 0
+    heavy = F.col(n) > total / HEAVY
+    often, columns = keys.where(heavy), [c for c in keys.columns if c not in on]
+    marked = rows.join(F.broadcast(often.withColumn("__heavy", F.lit(True))), on, "left")
+    met = marked.where("__heavy").drop("__heavy")
+    rest = marked.where("__heavy is null").drop("__heavy", *columns).join(keys.where(~heavy), on)
+    return met.unionByName(rest)

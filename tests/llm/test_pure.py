@@ -2,6 +2,7 @@
 
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -87,6 +88,26 @@ def test_bpe_as_the_library(library):
     assert list(mine.encoded([None])) == [("", "")]
 
 
+def test_bpe_of_every_code_point(library):
+    """Each character alone, in words, and beside marks that are moved and composed."""
+    mine = bpe.WordBpe(open(bpe.word_bpe_path(), encoding="utf-8").read())
+    for low in range(0, 0x110000, 4096):
+        chars = [chr(i) for i in range(low, low + 4096) if not 0xD800 <= i < 0xE000]
+        texts = [t for c in chars for t in ((c, f"a{c}!{c}{c}1", f"a{c}\u0316{c}\u0301") if not unicodedata.combining(c) else (c, f"á{c}", f"a\u0316{c}\u05b0", f"a{c}\u0334", f"e{c}\u0301", f"a\u0345{c}"))]
+        texts += [d for c in chars if (d := unicodedata.normalize("NFD", c)) != c]
+        want = library.encode_batch(texts, add_special_tokens=False)
+        assert [t for t, (ids, _), w in zip(texts, mine.encoded(texts), want, strict=True) if ids != " ".join(map(str, w.ids))] == []
+
+
+def test_bpe_of_random_characters(library):
+    rng = random.Random(1)
+    mine = bpe.tokenizer(bpe.word_bpe_path())
+    char = lambda: chr(rng.choice([rng.randrange(0x250), rng.randrange(0xD800), rng.randrange(0x1F000) | 0x10000, rng.randrange(0x300, 0x370)]))
+    for _ in range(5000):
+        t = "".join(char() for _ in range(rng.randrange(30)))
+        assert mine.encode(t) == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 def test_latin_pattern_is_the_general_one():
     mine = bpe.tokenizer(bpe.word_bpe_path())
     for i in range(0x250):
