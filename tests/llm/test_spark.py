@@ -1,6 +1,9 @@
 """The operators on frames: odd rows, empty tables, clashing names, and brute force over the small tables."""
 
+import html.parser
 import random
+import re
+import urllib.parse
 
 import duckdb
 import numpy as np
@@ -207,39 +210,115 @@ def test_one_of_each_group_with_repeated_ids(spark):
         got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert sorted(r["text"] for r in got) == sorted((a, b)), rows
 
-
 # --- urls ------------------------------------------------------------------------------------------------------------
 
 PAGES = [
     (1, "https://www.EXAMPLE.com/en/a?x#y", None), (2, "http://example.com/en/", ""), (3, "http://m.example.com/en", ""), (4, None, "<p>"), (5, "no url", None), (6, "ftp://host.net/es/1", None), (7, "http://a.org/x", "<link rel='canonical' href='http://host.net/es/2'>"),
     (8, "http://b.org/y", '<meta http-equiv="refresh" content="0; url=http://a.org/x">'), (9, "http://c.org/z", '<LINK href="//shop.com/q" rel=canonical>'), (10, "http://d.org/", '<link rel="canonical" href="http://c.org/z"><meta http-equiv=refresh content="1;URL=http://b.org/y">'), (11, "http://e.org/", "<link rel='canonical' href='/other'>"), (12, "https://b.org/y#again", None), (13, "http://.net/fr/", None), (14, "http://x.org", None), (14, "http://x.org", None),
+    (15, "http://rel.org/d/a", "<link rel=canonical href='../e/./b?q'>"), (16, "http://rel.org/e/b?q", "<link rel='canonical' href='http://host.net/es/rel'>"), (17, "http://own.org/", "<link rel='canonical' href='/go?u=http://bad.net/es/q'>"), (18, "http://cm.org/", "<!-- <link rel='canonical' href='http://host.net/es/2'> --><script>'<link rel=canonical href=http://host.net/es/2>'</script>"),
+    (19, "http://two.org/", "<link rel=canonical href='http://nowhere.org/'><link rel='alternate canonical' href='http://a.org/x?a=1&amp;b=2'>"), (20, "http://a.org/x?a=1&b=2", "<link rel=canonical href='http&#58;//host.net&#x2F;es/2'>"), (1, "http://t.net/es/again", None), (None, "http://t.net/fr/null", None),
 ]
 
 
+class LinkReader(html.parser.HTMLParser):
+    """The canonical links and refreshes of a page."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        got = dict(reversed(attrs))
+        if tag == "link" and "canonical" in (got.get("rel") or "").lower().split():
+            self.found.append(got.get("href") or "")
+        elif tag == "meta" and (got.get("http-equiv") or "").lower() == "refresh" and (m := re.match(r"[^;,]*[;,]\s*url\s*=\s*[\"']?([^\"']*)", got.get("content") or "", re.I)):
+            self.found.append(m[1])
+
+
+def plain_verdicts(pages, rules):
+    """Rules one by one, links by html.parser and urljoin, components by union-find."""
+
+    def cut(url):
+        if url is None or "://" not in url:
+            return "", "", None
+        rest = url.split("://", 1)[1].split("#")[0]
+        host, path = re.match(r"([^/?]*)([^?]*)", rest).groups()
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        return low, path, (low + rest[len(host) :] if low else None)
+
+    def fit(host, path):
+        found = [(len(h) + len(p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(found)[1:] if found else (None, None)
+
+    pairs = []
+    for _, url, page in pages:
+        if cut(url)[2] and page:
+            reader = LinkReader()
+            reader.feed(page)
+            reader.close()
+            for to in map(str.strip, reader.found):
+                if to and not to.startswith("#") and (node := cut(urllib.parse.urljoin(url, to))[2]):
+                    pairs.append((cut(url)[2], node))
+    root = union([p for p in pairs if p[0] != p[1]])
+    said = {}
+    for node, r in root.items():
+        said.setdefault(r, set()).add(fit(*re.match(r"([^/?]*)([^?]*)", node).groups())[1])
+    out = []
+    for i, url, _ in pages:
+        host, path, node = cut(url)
+        rule, verdict = fit(host, path)
+        of = said.get(root.get(node), set())
+        out.append((i, host, path, rule, verdict or ("allow" if "allow" in of else "block" if "block" in of else "allow")))
+    return sorted(map(str, out))
+
+
+def random_pages(n, seed=12):
+    rng = random.Random(seed)
+    hosts = ["a.org", "B.org", "c.d.org", "x.net", "shop.com", "www.example.com", "example.com", "net"]
+    path = lambda: rng.choice(["", "/", "/en/", "/es/", "/fr/", "/en/a", "/es/b/", "/d/e/f", "/q/x.html"]) + rng.choice(["", "", str(rng.randrange(60))])
+    url = lambda: rng.choice(["http", "https"]) + "://" + rng.choice(hosts) + path() + rng.choice(["", "", "?k=%d" % rng.randrange(3)]) + rng.choice(["", "#f"])
+    relative = lambda: rng.choice(["b", "../x", "./y", "?q", "../../z/", ".", "..", "e/../f", "/en/../es/1", "//x.net/es/2", "#top", "", "mailto:a@b", "/go?u=http://x.net/es/3", "g/./h/", "?a=1&amp;b=2", "s&#47;t"])
+    out = []
+    for i in range(n):
+        parts = []
+        for _ in range(rng.randrange(3)):
+            to, q = rng.choice([url, relative])(), rng.choice("\"'")
+            rel = rng.choice(["canonical", "Canonical", "alternate canonical", "stylesheet", "canonical-not"])
+            link = rng.choice([f"<link rel={q}{rel}{q} href={q}{to}{q}>", f"<LINK href={q}{to}{q} data-x={q}1{q} rel={q}{rel}{q} />", f"<meta http-equiv={q}refresh{q} content={q}{rng.choice(['0; url=', '5;URL=', '3, url = '])}{to}{q}>", f"<link rel={q}canonical{q} data-href={q}http://x.net/es/9{q} href={q}{to}{q}>"])
+            parts.append(rng.choice([link, link, link, f"<!-- {link} -->", f"<script>{link}</script>", f"<p>{link}</p>"]))
+        out.append((rng.choice([i, i, 7, None]), rng.choice([url(), url(), url(), None, "no url"]), rng.choice(["".join(parts), "".join(parts), None])))
+    return out
+
+
 def test_url_rules_and_aliases(spark):
-    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    pages = spark.createDataFrame(PAGES[:-2], "page_id long, url string, html string")
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.verdicts_of_pages(pages).collect()}
     assert got[1] == ("www.example.com/en/", "allow") and got[2] == ("example.com/en/", "block") and got[3] == ("com/", "allow")
     assert got[4] == (None, "allow") == got[5] and got[6] == ("net/es/", "block") and got[13] == ("net/fr/", "block")
     assert got[7] == got[8] == got[12] == (None, "allow")  # 10 joins their component with an allowed alias
     assert got[9] == got[10] == (None, "allow") and got[11] == (None, "allow")
+    assert got[15] == got[16] == (None, "block") and got[17] == got[18] == (None, "allow")
     without = pages.where("page_id not in (9, 10)")
     blocked = {r["page_id"]: r["verdict"] for r in url_filter.verdicts_of_pages(without).collect()}
-    assert blocked[7] == blocked[8] == blocked[12] == "block" and blocked[11] == "allow"
+    assert blocked[7] == blocked[8] == blocked[12] == blocked[19] == blocked[20] == "block" and blocked[11] == "allow"
     extra = spark.createDataFrame([("http://x.org", "http://host.net/es/9")], "from_url string, to_url string")
     assert {r["verdict"] for r in url_filter.judge(without, redirects=extra).where("page_id = 14").collect()} == {"block"}
     assert url_filter.verdicts_of_pages(pages.limit(0)).collect() == []
 
 
-def test_url_sql_and_long_rule_lists(spark):
-    pages = spark.createDataFrame(PAGES[:-1], "page_id long, url string, html string")
-    mine = sorted(map(str, map(tuple, url_filter.verdicts_of_pages(pages).collect())))
+@pytest.mark.parametrize("pages", [PAGES, random_pages(1000)], ids=["given", "random"])
+def test_urls_by_brute_force(spark, pages):
+    """Also with a long list of rules, with repeated and null page ids, with clashing columns, and as SQL."""
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").select("*", *(F.lit("mine").alias(c) for c in ("host", "rule", "node", "h", "salt", "tag", "to")))
+    text = lambda rows: sorted(str(tuple(r)) for r in rows)
+    want = plain_verdicts(pages, url_filter.RULES)
+    assert text(url_filter.verdicts_of_pages(frame).collect()) == want
+    many = url_filter.RULES + [(f"h{i}.test", "/", "block") for i in range(url_filter.INLINE)]
+    assert text(url_filter.judge(frame, many).collect()) == want
     con = duckdb.connect()
     con.execute("create table pages(page_id bigint, url varchar, html varchar)")
-    con.executemany("insert into pages values (?, ?, ?)", PAGES[:-1])
-    assert sorted(map(str, con.execute(url_filter.oracle()).fetchall())) == mine
-    many = url_filter.RULES + [(f"h{i}.test", "/", "block") for i in range(url_filter.INLINE)]
-    assert sorted(map(str, map(tuple, url_filter.judge(pages, many).collect()))) == mine
+    con.executemany("insert into pages values (?, ?, ?)", pages)
+    assert text(con.execute(url_filter.oracle()).fetchall()) == want
 
 
 def test_url_plan_is_native(spark, sf):
