@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The frame's rows as a Parquet table in the shared checkpoint folder: smaller than a checkpoint, and read by columns."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; rows at 1 are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
@@ -138,12 +146,11 @@ def join_on_counted(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n
     """rows joined with keys (one row each, n: how many of the rows have it), without a hot key in one task.
 
     Fewer than HEAVY keys can have more than a HEAVY-th of all rows each; those are broadcast, a bound that holds at any size.
-    The others are joined by shuffles in which no key has more than that. keys is read several times: a written table is best.
+    The others are joined by shuffles in which no key has more than that. rows is read twice: a written table is best.
     """
     total = keys.agg(F.sum(n)).first()[0] or 0
     heavy = F.col(n) > total / HEAVY
     often, columns = keys.where(heavy), [c for c in keys.columns if c not in on]
-    marked = rows.join(F.broadcast(often.withColumn("__heavy", F.lit(True))), on, "left")
-    met = marked.where("__heavy").drop("__heavy")
-    rest = marked.where("__heavy is null").drop("__heavy", *columns).join(keys.where(~heavy), on)
-    return met.unionByName(rest)
+    met = rows.join(F.broadcast(often), on)
+    rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(keys.where(~heavy), on)
+    return met.select(*rows.columns, *columns).unionByName(rest.select(*rows.columns, *columns))

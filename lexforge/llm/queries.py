@@ -19,7 +19,6 @@ def over(name: str, function: Callable[..., DataFrame], *more: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": over("documents", substring_dedup.deduplicated_documents),
-        "op1_substring_dedup_every_run": over("documents", substring_dedup.documents_without_passages),
         "op2_language_id": over("documents", language_id.language_of_documents),
         "op3_pii_surrogates": over("documents", pii.private_documents),
         "op4_url_filter": over("pages", url_filter.verdicts_of_pages),
@@ -33,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.oracle(), "op4_url_filter": url_filter.oracle(), "op5_license_scan": license_scan.oracle()}
+    return {"op4_url_filter": url_filter.oracle(), "op5_license_scan": license_scan.oracle()}

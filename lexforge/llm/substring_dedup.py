@@ -1,25 +1,25 @@
 """Substring deduplication over sliding sentence spans.
 
-A text is cut into sentences (each ends after `.`, `!` or `?` and white space, or at a line feed; white space belongs to
-the sentence before it, so the pieces joined are the text). Every run of SENTENCES consecutive sentences which hold at
-least WORDS words together is hashed to 128 bits; runs are compared by their sentences without outer white space. All runs
-of all documents are grouped by hash: the first place is the one with the smallest doc_id, then position. Each sentence
-that a run covers whose place is not the first is removed.
-
-Hot runs (boilerplate in a third of all documents) are no obstacle: the first place is a partially aggregated minimum, and
-only runs that repeat, joined back with AQE splitting skewed keys, reach the per-document step, whose rows are bounded by a
-document's own sentences.
-
-Defined cases: null stays null with 0 sentences; an empty text has no sentence and stays empty; a text that is removed
-whole becomes empty; a text of one sentence has no run; rows with equal doc_id and equal text count as one document (none
-loses to the other); a null doc_id is not deduplicated; runs that overlap themselves within one document count as repeats.
-
-That rule, which oracle() has as SQL, leaves out runs of SENTENCES sentences with fewer words. passages() has no such cut: from
-each sentence on, and back from each sentence, a run is extended until it has SENTENCES sentences and WORDS words, so every
-passage of that many is covered to its ends, however short its sentences are; a text that never gets there is one run.
-It works on units(): sentences by the stops of all scripts, those of over LONG words split again between words where a hash
-of the two words before says so, hence at the same places in every copy. Letters of scripts without spaces count as half a
-word each and may be split between. A text that is a single unit is one run.
+A text is cut into units: sentences by the stops and line ends of all scripts, those of over LONG words once more between
+words where a hash of the two words before says so, hence at the same places in every copy (letters of scripts without
+spaces count as half a word each and may be split between). White space belongs to the unit before it, so the units joined
+are the text. From each unit on, the shortest run of at least SENTENCES units and WORDS words is hashed to 64 bits, and so is
+the one back from each unit that ends none of these: every passage of that many is covered to its ends, however short its
+sentences are. A text that has no such run, as it is a single unit or too short, is one run.
+
+All runs of all documents are grouped by hash; the first place of a run is the one with the smallest doc_id, then position.
+Every unit that a run covers whose place is not the first is removed. Among N different runs a run meets an unlike one of
+equal hash by chance with a probability of N / 2 ** 64 (5e-8 for 1e12 runs); none of them is compared by text.
+
+Runs are made in one pass over the texts and written to the shared folder. Hot runs (boilerplate in a third of all documents)
+are no obstacle: the first document is a partially aggregated minimum, runs are joined back with AQE splitting skewed keys,
+and what reaches the per-document step is bounded by the document's own units. A run's later places within its own
+document need no join.
+
+Defined cases: null stays null and an empty text stays empty; a text that is removed whole becomes empty; rows with equal
+doc_id are one document (none loses to another; of equal texts both are cut alike, unlike ones each by their own places); a
+null doc_id is not deduplicated; runs that overlap themselves within one document count as repeats; a column of docs that
+has the name of a result is replaced.
 """
 
 from __future__ import annotations
@@ -27,19 +27,21 @@ from __future__ import annotations
 import functools
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, replacing, written
 
+#: Least units and words of a run.
 SENTENCES, WORDS = 2, 15
-END = re.compile(r"[.!?]\s+|\n\s*")
+#: Bits of a run's start and of its size within its place, and of the text's tag beside them.
+PLACE, TAG = 24, 15
 #: Sentences of over LONG words are split after one in SPLIT word pairs.
 LONG, SPLIT = 15, 8
 #: Ends of sentences in all scripts. Full-width, Ethiopic, Tibetan and similar stops need no space after them.
@@ -51,14 +53,6 @@ LETTER = re.compile(f"[{UNSPACED}]")
 TOKEN = re.compile(f"\\s*(?:[{UNSPACED}]|[^\\s{UNSPACED}]+)\\s*")
 
 
-def sentences(text: str) -> list[str]:
-    """Pieces that together are the text."""
-    ends = [m.end() for m in END.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False) if b > a]
-
-
 def n_words(text: str) -> int:
     """Words between white space; two letters of a script without it are one."""
     return len(text.split()) + (0 if text.isascii() else len(LETTER.findall(text)) // 2)
@@ -90,109 +84,89 @@ def units(text: str) -> list[str]:
     return out
 
 
-def spans(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[tuple[int, bytes]]:
-    """Position and 16-byte hash of every run of size sentences with at least so many words."""
-    bare = [p.strip() for p in pieces]
-    counts = [len(b.split()) for b in bare]
-    out = []
-    for i in range(len(bare) - size + 1):
-        if sum(counts[i : i + size]) >= words:
-            out.append((i, xxhash.xxh128_digest("\n".join(bare[i : i + size]).encode("utf-8", "surrogatepass"))))
-    return out
-
-
 def passages(pieces: list[str], size: int = SENTENCES, words: int = WORDS) -> list[tuple[int, bytes]]:
-    """Place (start << 32 | end) and 16-byte hash of the shortest runs of at least size sentences and so many words from each
-    sentence on, and back from each that ends none of these; of the whole text if it has none."""
+    """Place (start << PLACE | size) and hash of the shortest runs of at least size units and so many words from each unit on,
+    and back from each that ends none of these; of the whole text if it has none."""
     bare = [p.strip() for p in pieces]
     total = list(accumulate(map(n_words, bare), initial=0))
     n = len(bare)
     ahead = [bisect_left(total, total[i] + words, min(i + size, n + 1)) for i in range(n)]
-    found = {i << 32 | j for i, j in enumerate(ahead) if j <= n}
-    # where a run from a sentence on ends, those that end with it need none of their own
-    found |= {i << 32 | j for j in set(range(size, n + 1)).difference(ahead) if (i := min(j - size, bisect_right(total, total[j] - words, 0, j) - 1)) >= 0}
+    found = {(i, j) for i, j in enumerate(ahead) if j <= n}
+    # where a run from a unit on ends, those that end with it need none of their own
+    found |= {(i, j) for j in set(range(size, n + 1)).difference(ahead) if (i := min(j - size, bisect_right(total, total[j] - words, 0, j) - 1)) >= 0}
     if not found and total[n]:
-        found = {n}
-    return [(p, xxhash.xxh128_digest("\n".join(bare[p >> 32 : p & 0xFFFFFFFF]).encode("utf-8", "surrogatepass"))) for p in sorted(found)]
+        found = {(0, n)}
+    line = "\n".join(bare)
+    at = list(accumulate((len(b) + 1 for b in bare), initial=0))
+    return [(i << PLACE | j - i, xxhash.xxh3_64_intdigest(line[at[i] : at[j] - 1].encode("utf-8", "surrogatepass"))) for i, j in sorted(found)]
 
 
-def all_spans(docs: DataFrame, text: str, runs: Callable[[str], list[tuple[int, bytes]]], kind: str = "int") -> DataFrame:
-    """doc_id, pos (of a kind of integer), h1 and h2 of every run."""
+def all_runs(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
+    """doc_id, place (with the text's tag), h and again (not the first place of its hash in the text) of every run."""
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", tag_of(text).alias("tag"), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, tags, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for at in range(0, len(texts), 200):  # runs of a few documents at a time
-                found = [runs(t) if t else [] for t in texts[at : at + 200]]
-                owner = np.repeat(np.arange(len(found)), [len(f) for f in found]) + at
-                if len(owner):
-                    both = np.frombuffer(b"".join([h for f in found for _, h in f]), np.int64).reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array([p for f in found for p, _ in f], pa.int32() if kind == "int" else pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc_id", "pos", "h1", "h2"])
+                owner, places, hashes, again = [], [], [], []
+                for k, t in enumerate(texts[at : at + 200], at):
+                    seen: set[int] = set()
+                    for place, h in passages(units(t), size, words) if t else ():
+                        owner.append(k)
+                        places.append(place)
+                        hashes.append(h)
+                        again.append(h in seen)
+                        seen.add(h)
+                if owner:
+                    tagged = np.array(places, np.int64) | tags[owner] << 2 * PLACE
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(tagged), pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(again)], names=["doc_id", "place", "h", "again"])
 
-    rows = docs.select("doc_id", text).where(F.col("doc_id").isNotNull())
-    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, pos {kind}, h1 long, h2 long")
+    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, place long, h long, again boolean")
 
 
-def repeated_places(runs: DataFrame) -> DataFrame:
-    """doc_id and the sorted places of its runs that aren't the first of their kind."""
-    first = runs.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = runs.join(first, ["h1", "h2"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("pos") != F.col("first.pos")))
-    return later.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
+def tag_of(text: str) -> Column:
+    """What tells the texts of one doc_id apart."""
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << TAG) - 1))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """All columns of docs with covered sentences removed from the texts, then n_sentences and removed (their positions)."""
-    runs = all_spans(docs, text, lambda t: spans(sentences(t), size, words))
-    return without(docs, runs, text, sentences, lambda p: range(p, p + size))
-
-
-def remove_passages(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """As remove_repeats, with the runs of passages()."""
-    runs = all_spans(docs, text, lambda t: passages(units(t), size, words), "long")
-    return without(docs, runs, text, units, lambda p: range(p >> 32, p & 0xFFFFFFFF))
+def repeated_places(runs: DataFrame) -> DataFrame:
+    """doc_id, tag and the sorted places (start << PLACE | size) of its runs that aren't the first of their kind."""
+    new = runs.where("not again").select("doc_id", "place", "h")
+    first = new.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
+    later = new.join(first, "h").where(F.col("doc_id") != F.col("first")).select("doc_id", "place")
+    every = later.unionByName(runs.where("again").select("doc_id", "place"))
+    place = F.col("place").bitwiseAND(F.lit((1 << 2 * PLACE) - 1))
+    return every.groupBy("doc_id", F.shiftright("place", 2 * PLACE).alias("tag")).agg(F.array_sort(F.collect_set(place)).alias("starts"))
 
 
-def without(docs: DataFrame, runs: DataFrame, text: str, cut: Callable[[str], list[str]], covers: Callable[[int], range]) -> DataFrame:
-    """docs without the pieces that the repeated ones of the runs cover."""
+def remove_repeats(docs: DataFrame, text: str = "text", size: int = SENTENCES, words: int = WORDS) -> DataFrame:
+    """All columns of docs with covered units removed from the texts, then removed, the positions of these units."""
+    docs = replacing(docs, text, "removed")
     columns = docs.columns
-    joined = docs.join(repeated_places(runs).withColumnRenamed("starts", "__starts"), "doc_id", "left").select(*columns, "__starts")
+    places = repeated_places(written(all_runs(docs, text, size, words))).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("starts").alias("__starts"))
+    joined = docs.join(places, (F.col("doc_id") == F.col("__id")) & (tag_of(text) == F.col("__tag")), "left").select(*columns, "__starts")
     at, last = columns.index(text), len(columns)
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, gone = [], [], []
-            for t, starts in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist(), strict=True):
-                pieces = cut(t) if t else []
-                covered = {k for p in starts or () for k in covers(p) if k < len(pieces)}
-                texts.append("".join([p for i, p in enumerate(pieces) if i not in covered]) if covered else t)
-                counts.append(len(pieces))
-                gone.append(sorted(covered))
+            starts = batch.column(last)
+            cut = {int(k): starts[int(k)].as_py() for k in np.flatnonzero(starts.is_valid())}
+            gone = [[]] * batch.num_rows
             out = list(batch.columns[:last])
-            out[at] = pa.array(texts, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays([*out, pa.array(counts, pa.int32()), pa.array(gone, pa.list_(pa.int32()))], names=[*batch.schema.names[:last], "n_sentences", "removed"])
+            if cut:
+                texts = out[at].to_pylist()
+                for k, places in cut.items():
+                    pieces = units(texts[k])
+                    covered = {j for p in places for j in range(p >> PLACE, (p >> PLACE) + (p & (1 << PLACE) - 1))}
+                    texts[k] = "".join([p for j, p in enumerate(pieces) if j not in covered])
+                    gone[k] = sorted(covered)
+                out[at] = pa.array(texts, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([*out, pa.array(gone, pa.list_(pa.int32()))], names=[*batch.schema.names[:last], "removed"])
 
-    return map_batches(joined, run, f"{schema}, n_sentences int, removed array<int>")
+    return map_batches(joined, run, f"{schema}, removed array<int>")
 
 
 def deduplicated_documents(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs.select("doc_id", "text")).withColumn("removed", F.array_join("removed", ","))
-
-
-def documents_without_passages(docs: DataFrame) -> DataFrame:
-    return remove_passages(docs.select("doc_id", "text")).withColumn("removed", F.array_join("removed", ","))
-
-
-def oracle(size: int = SENTENCES, words: int = WORDS) -> str:
-    """DuckDB SQL for deduplicated_documents, for texts whose white space is ASCII; runs are compared by their text."""
-    bare = lambda i: f"trim(p[{i}], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
-    key = " || chr(10) || ".join(bare(f"i + {k}") for k in range(size))
-    count = " + ".join(f"len(list_filter(regexp_split_to_array(p[i + {k}], '\\s+'), lambda x: x <> ''))" for k in range(size))
-    return f"""
-WITH cut AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?]\\s+|\\n\\s*)', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS p FROM documents),
-runs AS (SELECT DISTINCT doc_id, i, {key} AS span FROM (SELECT doc_id, p, unnest(range(1, len(p) - {size} + 2)) AS i FROM cut WHERE doc_id IS NOT NULL) WHERE {count} >= {words}),
-later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY span ORDER BY doc_id, i) AS n FROM runs) WHERE n > 1),
-gone AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(i, i + {size}))))) AS g FROM later GROUP BY doc_id)
-SELECT c.doc_id, CASE WHEN g IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda k: NOT list_contains(g, k)), lambda k: p[k]), '') END AS text,
-  CAST(coalesce(len(p), 0) AS INTEGER) AS n_sentences, coalesce(array_to_string(list_transform(g, lambda k: k - 1), ','), '') AS removed
-FROM cut c LEFT JOIN gone USING (doc_id)"""
