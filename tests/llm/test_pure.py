@@ -294,6 +294,74 @@ def test_bare_names_follow_the_detected_one():
         assert len(pii.substitute(f"Then {name} spoke.", pii.Surrogates(b"k"))[1]) == 1
 
 
+def test_names_of_all_scripts_and_genders():
+    made = pii.Surrogates(b"k")
+    alone = lambda t: pii.substitute(t, made)
+    out = alone("Mr Robin Banks met Mrs Robin Banks; Robin left.")[0].replace(";", "").split()
+    assert out[1].endswith("ius") and out[5].endswith("ina") and out[2] == out[6] != "Banks" and out[7] == out[1]
+    for name in ("Łś", "Şğ Ñç", "Ångström Ødegård", "Große", "O'Brien", "McDonald", "Žižek", "Ёлкин", "Ώραιος"):
+        got, found = alone(f"Dr {name} spoke")
+        assert len(found) == 1 and got.startswith("Dr ") and got.endswith(" spoke")
+        assert sum(a == b for a, b in zip(name, got[3:-6], strict=True) if a.isalpha()) <= len(name) // 3, (name, got)
+        assert [c.isupper() for c in name if c.isalpha()] == [c.isupper() for c in got[3:-6] if c.isalpha()]
+    for text, name, script in (("王小明先生来了。王小明说", "王小明", "han"), ("佐藤さんは", "佐藤", "han"), ("김민수 씨와 김민수", "김민수", "hangul"), ("السيد محمد جاء", "محمد", "arabic"), ("श्री राम शर्मा आए", "राम शर्मा", "devanagari"), ("คุณ สมชาย มา", "สมชาย", "thai")):
+        got, found = alone(text)
+        assert name not in got and found and all(pii.script_of(f["surrogate"]) == script for f in found), (text, got)
+    assert alone("李芳女士")[0][1] in pii.USUAL["f"] and alone("李伟先生")[0][1] in pii.USUAL["m"]
+    assert alone("السيدة مريم هنا")[0].split()[1] in pii.GIVEN["arabic", "f"]
+    assert alone("Mr Alice Banks")[0].split()[1].endswith("ius")  # the title's gender counts
+
+
+def test_every_letter_has_a_class():
+    for script, ranges in pii.SCRIPTS.items():
+        for ch in pii.in_ranges(ranges):
+            if unicodedata.category(ch) in ("Lu", "Ll", "Lo"):
+                group = pii.CLASS_OF[ch]
+                assert len(group) > 1 and ch in group and len(set(group)) == len(group), (script, ch)
+                assert all(pii.CLASS_OF[x] == group for x in group[:3]), ch
+
+
+def test_ipv6():
+    made = pii.Surrogates(b"k")
+    out, found = pii.substitute("from 2001:db8::1, fe80::1ff:fe23:4567:890A at 12:30:45; 2607:f8b0:4005:080a:0000:0000:0000:200e, ::1 std::vector dead::beef", made)
+    assert [f["kind"] for f in found] == ["ipv6"] * 3
+    a, b, c = (f["surrogate"] for f in found)
+    assert a.startswith("2001:db8::") and b.startswith("FE80::") and ":0000:0000:0000:" in c and c[0] in "23" and len(c) == 39
+    assert out.endswith("::1 std::vector dead::beef") and "12:30:45" in out
+    rng = random.Random(4)
+    many = {":".join(f"{rng.randrange(1, 65536):x}" for _ in range(8)) for _ in range(500)} | {f"2001:db8::{i:x}" for i in range(1, 400)}
+    many = {x for x in many if pii.is_ipv6(x)}
+    images = [made.replace("ipv6", x) for x in many]
+    assert len(set(images)) == len(many) and not many & {x for x, y in zip(many, images, strict=True) if x == y}
+
+
+@pytest.mark.parametrize(("kind", "parts"), [("secret", ["0a1fgzAFGZ"] * 3), ("phone", ["2345", "05", "0456", " ", "012", "056"]), ("email", ["ab1", "@", "xyZ", ".com"]), ("national_id", ["0169", "06", "06", "-", "01", "012", "-", "0", "0", "0", "01"]), ("name", ["KLA", "aeiko"])])
+def test_surrogates_by_brute_force(kind, parts):
+    """Over all strings of small forms: different ones have different images of the same form, and none stays."""
+    import itertools
+
+    made = pii.Surrogates(b"k")
+    every = ["".join(x) for x in itertools.product(*([p] if len(p) > 1 and p[0] in "@." else p for p in parts))]
+    images = {x: made.replace(kind, x) for x in every}
+    assert len(set(images.values())) == len(every) and not any(x == y for x, y in images.items())
+    form = lambda x: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", x)))
+    for x, y in images.items():
+        if kind == "secret":
+            assert made.secret_kind(x) == made.secret_kind(y) and len(x) == len(y)
+        else:
+            assert form(x) == form(y)
+
+
+def test_mixed_secrets_never_collide():
+    """Values of all kinds side by side, the two that once met among them."""
+    rng = random.Random(8)
+    made = pii.Surrogates(b"a key for tests")
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghij0123456789", "abcXYZ019-_"]
+    values = sorted({"g0000000", "c96be404"} | {"".join(rng.choice(a) for _ in range(8)) for a in alphabets for _ in range(400)})
+    out, found = pii.substitute(" ".join(f"token={v}" for v in values), made)
+    assert len(found) == len(values) == len({f["surrogate"] for f in found})
+
+
 def test_permutation_is_one_cycle():
     made = pii.Surrogates(b"z")
     for n in (2, 3, 10, 37, 100):
@@ -384,8 +452,8 @@ def test_ogg():
 # --- sentences -------------------------------------------------------------------------------------------------------
 
 
-def test_sentences():
+def test_units():
     for t in [*(x for x in ODD if x), "A b. C d! E?\n\nF g", "no end", "a.  b.\n c"]:
-        assert "".join(substring_dedup.sentences(t)) == t
-    assert [s.strip() for s in substring_dedup.sentences("A b. C d! E?\n\nF 1.5 g")] == ["A b.", "C d!", "E?", "F 1.5 g"]
-    assert substring_dedup.sentences("") == []
+        assert "".join(substring_dedup.units(t)) == t
+    assert [s.strip() for s in substring_dedup.units("A b. C d! E?\n\nF 1.5 g")] == ["A b.", "C d!", "E?", "F 1.5 g"]
+    assert substring_dedup.units("") == []

@@ -89,27 +89,54 @@ def test_training_sample_is_bounded_and_stable(spark):
 # --- dedup -----------------------------------------------------------------------------------------------------------
 
 
+def brute_runs(pieces, size, words):
+    """Starts and ends by the definition, one by one."""
+    n, count = len(pieces), lambda i, j: sum(substring_dedup.n_words(p.strip()) for p in pieces[i:j])
+    found = set()
+    for i in range(n):
+        found |= {(i, j) for j in [next((j for j in range(i + size, n + 1) if count(i, j) >= words), None)] if j}
+    ends = {j for _, j in found}
+    for j in set(range(size, n + 1)) - ends:
+        found |= {(i, j) for i in [next((i for i in range(j - size, -1, -1) if count(i, j) >= words), None)] if i is not None}
+    return sorted(found) or ([(0, n)] if count(0, n) else [])
+
+
 def brute_dedup(docs, size, words):
-    first = {}
-    for d, t in sorted(docs):
-        for p, h in substring_dedup.spans(substring_dedup.sentences(t), size, words):
-            first.setdefault(h, (d, p))
-    out = {}
-    for d, t in docs:
-        pieces = substring_dedup.sentences(t)
-        gone = {p + k for p, h in substring_dedup.spans(pieces, size, words) if first[h] != (d, p) for k in range(size)}
-        out[d] = "".join(p for i, p in enumerate(pieces) if i not in gone)
+    runs = {}
+    for row, (d, t) in enumerate(docs):
+        pieces = substring_dedup.units(t or "")
+        runs[row] = [(i, j, tuple(p.strip() for p in pieces[i:j])) for i, j in brute_runs(pieces, size, words)] if d is not None else []
+    first, out = {}, []
+    for row, (d, _) in enumerate(docs):
+        for _, _, text in runs[row]:
+            first[text] = min(first.get(text, d), d)
+    for row, (d, t) in enumerate(docs):
+        pieces, seen, gone = substring_dedup.units(t or ""), set(), set()
+        for i, j, text in runs[row]:
+            gone |= set(range(i, j)) if first[text] != d or text in seen else set()
+            seen.add(text)
+        out.append((d, "".join(p for k, p in enumerate(pieces) if k not in gone) if gone else t, sorted(gone)))
     return out
 
 
-@pytest.mark.parametrize(("size", "words"), [(2, 4), (3, 1), (1, 2)])
+@pytest.mark.parametrize(("size", "words"), [(2, 4), (3, 1), (1, 2), (2, 15)])
 def test_dedup_by_brute_force(spark, size, words):
+    """Short sentences, and sentences that are split; repeated ids of equal and of unlike texts, null ids and texts."""
     rng = random.Random(6)
     pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(1, 5))) + "." for _ in range(25)]
+    pool += [" ".join(rng.choice(["ab", "cd", "ef", "gh", "éi"]) for _ in range(rng.randrange(10, 50))) + rng.choice([".", "。", "\n"]) for _ in range(9)]
     docs = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(0, 12)))) for i in range(40)]
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(frame, size=size, words=words).collect()}
-    assert got == brute_dedup(docs, size, words)
+    docs += [docs[3], (3, docs[7][1]), (None, docs[5][1]), (50, None), (51, ""), (52, " \n ")]
+    rng.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5).withColumn("removed", F.lit("mine"))
+    got = [(r["doc_id"], r["text"], r["removed"]) for r in substring_dedup.remove_repeats(frame, size=size, words=words).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute_dedup(docs, size, words)))
+
+
+def test_dedup_query_by_brute_force(spark, sf):
+    docs = [tuple(r) for r in common.table(spark, sf, "documents").select("doc_id", "text").collect()]
+    got = [(r["doc_id"], r["text"], [int(x) for x in r["removed"].split(",") if x]) for r in queries.queries()["op1_substring_dedup"](spark, sf).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, brute_dedup(docs, substring_dedup.SENTENCES, substring_dedup.WORDS)))
 
 
 def test_passages_of_short_sentences(spark):
@@ -118,7 +145,7 @@ def test_passages_of_short_sentences(spark):
     uneven = "One sentence of this passage has as many words as it takes to be a run alone. Yes. No."
     docs = [(1, f"{short} The first goes on in one way."), (2, f"Another begins with its own words. {short}"), (3, uneven + " Then more of the third."), (4, "The fourth has a start. " + uneven + " And an end."), (5, "A b. C d."), (6, "A b. C d."), (7, "A b. C e.")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in substring_dedup.documents_without_passages(frame).collect()}
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicated_documents(frame).collect()}
     assert got == {**dict(docs), 2: "Another begins with its own words. ", 4: "The fourth has a start. And an end.", 6: ""}
 
 
@@ -131,7 +158,7 @@ def test_passages_of_all_scripts(spark):
     docs = [(1, one), (2, one), (3, f"{words(30)} {inside} {words(30)}"), (4, f"{words(40)} {inside} {words(20)}"), (5, han + letters(30)), (6, letters(25) + "。" + han), (7, lines + words(8)), (8, words(8) + "।" + lines), (9, letters(200)), (10, words(9))]
     docs.append((11, docs[8][1]))
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["text"] for r in substring_dedup.documents_without_passages(frame).collect()}
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicated_documents(frame).collect()}
     old = dict(docs)
     assert all(got[d] == old[d] for d in (1, 3, 5, 7, 9, 10))
     assert got[2] == "" and got[11] == ""
