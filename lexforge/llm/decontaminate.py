@@ -5,52 +5,59 @@ separator. A region of a text that is within k edits of an item shares at least
 (n symbols), on diagonals (text position minus item position) that differ by at most k. So shared q-grams are counted in
 diagonal bands of width 2 * (k + 1) that overlap by half; bands that reach the bound are retained and verified by banded
 alignment of the whole item against the region. Items take k = EDITS * n edits, and fewer where the bound would fall
-below 1.
+below 1; the q-grams of an item of fewer than 2 * Q symbols are its exact match. Items of fewer than Q symbols have no q-gram:
+they are found word by word, exactly, as whole words.
 
 Every position of every text is looked up: a hash table of bytes says which q-grams an item can have, the rest are found
-by binary search. Benchmarks of any size are processed in blocks of at most BLOCK_SYMBOLS characters, each broadcast by
-itself, with one pass over the documents for each block.
-
-Defined cases: null and empty texts hold nothing; items shorter than MIN_ITEM symbols, or null, are not searched (too short
-to tell); repeated rows each give their matches; equal items with several ids each match; an empty benchmark matches
-nothing; of several regions that match an item the one with fewest edits, then the first, is reported.
+by binary search. Hits are expanded and counted in pieces of SLICE postings, whatever the text and however common a q-gram
+is. The benchmark is dealt into blocks of at most BLOCK_SYMBOLS characters by the executors, which build their indexes; the
+driver holds one block's index at a time, to broadcast it, and each block is one pass over the documents.
+
+Defined cases: null and empty texts hold nothing; null items, and items without a letter or digit, aren't searched; repeated
+rows each give their matches, repeated rows of the benchmark count once, equal items with several ids each match; ids of items may have any type and be null; an empty
+benchmark matches nothing; of several regions that match an item the one with fewest edits, then the first, is reported;
+columns of docs that have the name of a result don't matter to matches() and stay in clean().
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_batches
+from ..runtime import importable
+from .common import map_batches, written
 
-Q, EDITS, MIN_ITEM, BLOCK_SYMBOLS = 8, 0.08, 40, 4_000_000
+Q, EDITS, BLOCK_SYMBOLS = 8, 0.08, 4_000_000
 #: Positions looked at together.
 SLICE = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Diagonals are counted from so far to the left, which is more than the symbols of any item.
+FAR_LEFT = 1 << 32
 
 
-def symbol_table() -> np.ndarray:
-    """The symbol of each BMP character: 0 separates, letters and digits have 1 to 255 (rare ones share)."""
-    out = np.zeros(1 << 16, np.uint8)
-    for i in range(1 << 16):
-        c = chr(i)
-        if c.isalnum():
-            low = c.lower()
-            out[i] = (ord(low[0]) * 40503 >> 3) % 255 + 1 if ord(low[0]) > 127 else ord(low[0])
-    return out
+def symbol_of(char: str) -> int:
+    """0 separates, letters and digits have 1 to 255 (rare ones share)."""
+    low = ord(char.lower()[0])
+    return (low if low <= 127 else (low * 40503 >> 3) % 255 + 1) if char.isalnum() else 0
 
 
-TABLE = symbol_table()
+#: The symbols of the BMP.
+TABLE = np.array([symbol_of(chr(i)) for i in range(1 << 16)], np.uint8)
 
 
 def fold(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts' symbols in one array, each ended by a separator, where each symbol came from, and the texts' ends."""
     flat = np.frombuffer("".join([(t or "") + "\n" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = np.where(flat < 1 << 16, TABLE[np.minimum(flat, 65535)], np.uint8(0))
+    symbols = TABLE[np.minimum(flat, 65535)]
+    if len(far := np.flatnonzero(flat > 65535)):
+        chars, which = np.unique(flat[far], return_inverse=True)
+        symbols[far] = np.array([symbol_of(chr(c)) for c in chars.tolist()], np.uint8)[which]
     keep = symbols != 0
     keep[1:] |= symbols[:-1] != 0
     ends = np.cumsum([len(t or "") + 1 for t in texts])
@@ -68,17 +75,25 @@ def grams(symbols: np.ndarray) -> np.ndarray:
 class Index:
     """The q-grams of some items, which are kept as symbols."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[object, str]]):
         self.ids, self.items = [], []
+        short: list[tuple[object, np.ndarray]] = []
         for i, text in items:
             symbols, _, _ = fold([text])
             symbols = np.trim_zeros(symbols)
-            if len(symbols) >= MIN_ITEM:
+            if len(symbols) >= Q:
                 self.ids.append(i)
                 self.items.append(symbols)
+            elif len(symbols):
+                short.append((i, symbols))
+        #: How many of the items have q-grams; the short ones follow them.
+        self.long = len(self.items)
+        self.ids += [i for i, _ in short]
+        #: Of each short item its code, by the item's size, in order.
+        self.short = {size: sorted((int.from_bytes(s.tobytes(), "little"), self.long + k) for k, (_, s) in enumerate(short) if len(s) == size) for size in {len(s) for _, s in short}}
         n = np.array([len(s) for s in self.items], np.int64)
         self.length = n
-        self.edits = np.minimum((n * EDITS).astype(np.int64), (n - Q) // Q)
+        self.edits = np.clip((n * EDITS).astype(np.int64), 0, (n - Q) // Q)
         self.least = n - Q + 1 - self.edits * Q
         codes = np.concatenate([grams(s) for s in self.items]) if self.items else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(n)), np.maximum(n - Q + 1, 0))
@@ -109,43 +124,86 @@ class Index:
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """Text number, item number, edits, start and end (characters of the text) of each match."""
-        if not self.items:
+        if not self.ids:
             return []
         symbols, origin, ends = fold(texts)
-        where, which, count = self.hits(symbols)
-        bands, lows = [], []
-        # pieces of texts' hits are counted together, whole texts at a time
-        owner = np.searchsorted(ends, where, side="right")
-        cut, at = [0], 0
-        total = np.cumsum(count)
-        while at < len(where):
-            nxt = int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE, side="right"))
-            nxt = len(where) if nxt >= len(where) else int(np.searchsorted(owner, owner[max(nxt, at)], side="left"))
-            if nxt <= at:  # one text with more hits than that
-                nxt = int(np.searchsorted(owner, owner[at], side="right"))
-            cut.append(nxt)
-            at = nxt
-        for a, b in zip(cut, cut[1:], strict=False):
-            n = count[a:b]
-            posting = np.repeat(self.first[which[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            item, diagonal = self.item[posting].astype(np.int64), np.repeat(where[a:b], n) - self.place[posting] + (1 << 20)
-            half = self.edits[item] + 1
-            key = item << 40 | (diagonal // half)
-            # bands are two neighbouring cells of half their width
-            cells, k = np.unique(key, return_counts=True)
-            follow = np.zeros(len(cells), np.int64)
-            joined = np.flatnonzero(cells[1:] == cells[:-1] + 1)
-            follow[joined] = k[joined + 1]
-            # a band that begins in the empty cell before counts as well, so each cell stands in two bands
-            good = (k + follow >= self.least[cells >> 40])
-            bands.append(cells[good] >> 40)
-            lows.append((cells[good] & ((1 << 40) - 1)) * (self.edits[cells[good] >> 40] + 1) - (1 << 20))
-        if not bands:
-            return []
-        return self.verified(np.concatenate(bands), np.concatenate(lows), symbols, origin, ends, texts)
+        base = np.cumsum([0, *(len(t or "") + 1 for t in texts)])
+        found = {(d, i): (e, a, b) for d, i, e, a, b in self.whole_words(symbols, ends)}
+        if self.long:
+            item, low = self.bands(symbols)
+            if len(item):
+                found |= self.verified(item, low, symbols, ends)
+        out = []
+        starts = np.append(0, ends)
+        for (doc, it), (edits, a, b) in sorted(found.items()):
+            a, b = max(a, int(starts[doc])), min(b, int(ends[doc]))
+            out.append((doc, it, edits, int(origin[a] - base[doc]), int(origin[b - 1] - base[doc]) + 1))
+        return out
 
-    def verified(self, item: np.ndarray, low: np.ndarray, symbols: np.ndarray, origin: np.ndarray, ends: np.ndarray, texts: list) -> list[tuple[int, int, int, int, int]]:
-        """Banded alignment of all retained regions side by side: the item whole, the region's ends free."""
+    def whole_words(self, symbols: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """The first place in each text of each short item, between separators."""
+        out: dict[tuple[int, int], tuple] = {}
+        for size, known in self.short.items():
+            codes = np.array([c for c, _ in known], np.uint64)
+            # a place begins after a separator and ends before one; every text ends with one
+            start = np.flatnonzero(np.append(True, symbols[:-1] == 0))
+            start = start[start + size < len(symbols)]
+            start = start[symbols[start + size] == 0]
+            for at in range(0, len(start), SLICE):
+                part = start[at : at + SLICE]
+                code = np.zeros(len(part), np.uint64)
+                for k in range(size):
+                    code |= symbols[part + k].astype(np.uint64) << np.uint64(8 * k)
+                left, right = np.searchsorted(codes, code, "left"), np.searchsorted(codes, code, "right")
+                for j in np.flatnonzero(right > left).tolist():
+                    a = int(part[j])
+                    doc = int(np.searchsorted(ends, a, side="right"))
+                    for k in range(int(left[j]), int(right[j])):
+                        out.setdefault((doc, known[k][1]), (doc, known[k][1], 0, a, a + size))
+        return list(out.values())
+
+    def bands(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Item and lowest diagonal of every band whose count of shared q-grams reaches the item's bound."""
+        where, which, count = self.hits(symbols)
+        total = np.append(0, np.cumsum(count))
+        cells, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys: list[np.ndarray] = []
+        numbers: list[np.ndarray] = []
+        held = 0
+
+        def merge() -> None:
+            nonlocal cells, counts, held
+            cells, inverse = np.unique(np.concatenate([cells, *keys]), return_inverse=True)
+            counts = np.bincount(inverse, weights=np.concatenate([counts, *numbers]), minlength=len(cells)).astype(np.int64)
+            keys.clear()
+            numbers.clear()
+            held = 0
+
+        for at in range(0, int(total[-1]), SLICE):  # so many postings at a time, also within one q-gram's
+            place = np.arange(at, min(at + SLICE, int(total[-1])))
+            hit = np.searchsorted(total, place, side="right") - 1
+            posting = self.first[which[hit]] + (place - total[hit])
+            item = self.item[posting].astype(np.int64)
+            diagonal = where[hit] - self.place[posting] + FAR_LEFT
+            key, number = np.unique(item << 40 | (diagonal // (self.edits[item] + 1)), return_counts=True)
+            keys.append(key)
+            numbers.append(number)
+            held += len(key)
+            if held > 4 * SLICE:
+                merge()
+        merge()
+        if not len(cells):
+            return cells, cells
+        # bands are two neighbouring cells of half their width; one that begins in the empty cell before counts as well
+        follow = np.zeros(len(cells), np.int64)
+        joined = np.flatnonzero(cells[1:] == cells[:-1] + 1)
+        follow[joined] = counts[joined + 1]
+        good = cells[counts + follow >= self.least[cells >> 40]]
+        return good >> 40, (good & ((1 << 40) - 1)) * (self.edits[good >> 40] + 1) - FAR_LEFT
+
+    def verified(self, item: np.ndarray, low: np.ndarray, symbols: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """Text and item, with edits, start and end, of the regions that banded alignment confirms: the item whole, the region's
+        ends free."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         k, size = self.edits[item], self.length[item]
         doc = self.text_at(low + k + size // 2, ends, len(symbols))
@@ -164,13 +222,7 @@ class Index:
         for at in range(0, len(order), 256):
             part = order[at : at + 256]
             self._align(item[part], low[part], symbols, ends, best)
-        out = []
-        starts = np.append(0, ends)
-        base = np.cumsum([0, *(len(t or "") + 1 for t in texts)])
-        for (doc, it), (edits, a, b) in sorted(best.items()):
-            a, b = max(a, int(starts[doc])), min(b, int(ends[doc]))
-            out.append((doc, it, edits, int(origin[a] - base[doc]), int(origin[b - 1] - base[doc]) + 1))
-        return out
+        return best
 
     @staticmethod
     def text_at(position: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
@@ -222,22 +274,33 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[Index]:
-    """The benchmark in blocks of at most BLOCK_SYMBOLS characters (a longer item is a block of its own)."""
-    block, size = [], 0
-    for i, t in benchmark.where(F.col(text).isNotNull()).select(item, text).toLocalIterator():
-        if block and size + len(t) > BLOCK_SYMBOLS:
-            yield Index(block)
-            block, size = [], 0
-        block.append((i, t))
-        size += len(t)
-    if block:
-        yield Index(block)
+    """Indexes of blocks of about BLOCK_SYMBOLS characters (a longer item is more), built by the executors, one at a time here."""
+    rows = benchmark.where(F.col(text).isNotNull()).select(F.col(item).alias("item"), F.col(text).alias("text")).distinct()
+    size = rows.agg(F.sum(F.length("text"))).first()[0]
+    if not size:
+        return
+    blocks = -(-2 * size // BLOCK_SYMBOLS) if size > BLOCK_SYMBOLS else 1
+    # an item is of the block that its hash gives; on the average a block has half of what it may have
+    dealt = rows.select("item", "text", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).alias("block"))
+    if blocks == 1:
+        yield Index([(r["item"], r["text"]) for r in dealt.collect()])
+        return
+
+    def build(key: tuple, group: pa.Table) -> pa.Table:
+        return pa.table({"block": [key[0].as_py()], "index": [pickle.dumps(Index(list(zip(group["item"].to_pylist(), group["text"].to_pylist(), strict=True))))]}, pa.schema([("block", pa.int64()), ("index", pa.binary())]))
+
+    importable(benchmark.sparkSession)
+    made = written(dealt.groupBy("block").applyInArrow(build, "block long, index binary"))
+    for block in sorted(r[0] for r in made.select("block").collect()):
+        yield pickle.loads(made.where(F.col("block") == block).first()["index"])
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, item_id, edits, start_char and end_char of every item found in a text."""
     rows, out = docs.select(key, text), None
-    schema = f"`{key}` {rows.dtypes[0][1]}, item_id long, edits int, start_char long, end_char long"
+    kind = next(f.dataType for f in benchmark.schema if f.name == "item_id")
+    schema = f"`{key}` {rows.dtypes[0][1]}, item_id {kind.simpleString()}, edits int, start_char long, end_char long"
+    id_type = to_arrow_type(kind)
     for index in indexes(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -245,7 +308,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
             for batch in batches:
                 found = shared.value.search(batch.column(1).to_pylist())
                 doc, item, edits, a, b = zip(*found, strict=True) if found else ([],) * 5
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc, pa.int64())), pa.array([shared.value.ids[i] for i in item], pa.int64()), pa.array(edits, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=[key, "item_id", "edits", "start_char", "end_char"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc, pa.int64())), pa.array([shared.value.ids[i] for i in item], id_type), pa.array(edits, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=[key, "item_id", "edits", "start_char", "end_char"])
 
         part = map_batches(rows, run, schema)
         out = part if out is None else out.unionByName(part)

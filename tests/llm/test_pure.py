@@ -205,13 +205,15 @@ def edits_within(item, text):
     return best
 
 
-def test_decontamination_by_brute_force():
+def test_decontamination_by_brute_force(monkeypatch):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
     items = [(i, " ".join(word() for _ in range(rng.randrange(10, 40)))) for i in range(8)]
-    index = decontaminate.Index([*items, (90, "too short"), (91, ""), (92, items[0][1].upper())])
-    assert len(index.items) == 9
-    texts = [None, "", "nothing here", items[0][1], f"x, {items[1][1].upper()}! y"]
+    short = [(80 + k, " ".join([word()[:k] or "a", *["bc"] * (k % 2)])) for k in range(8)]
+    index = decontaminate.Index([*items, (90, "quite short"), (91, ""), (92, items[0][1].upper()), (93, "e" * 16), (94, "a"), (95, "𐐀𠀀"), *short])
+    assert index.long >= 11 and len(index.ids) > index.long
+    texts = [None, "", "nothing here", items[0][1], f"x, {items[1][1].upper()}! y", "Quite. Short", "quitee short", "a", "ba a", "𠀀 𐐨𠀀", "e" * 3000, "e" * 15, items[2][1] * 300, "bc " * 50]
+    texts += [" ".join(word()[: rng.randrange(1, 5)] for _ in range(rng.randrange(9))) for _ in range(30)]
     for k in range(60):
         i, s = rng.choice(items)
         s = list(s)
@@ -222,7 +224,13 @@ def test_decontamination_by_brute_force():
     found = {(d, index.ids[i]): e for d, i, e, *_ in index.search(texts)}
     for d, t in enumerate(texts):
         symbols = decontaminate.fold([t])[0].tolist()
-        for j, n in enumerate(index.ids):
+        if "𠀀" not in (t or "") and len(symbols) > 3000:
+            continue
+        for i, item_text in [*short, (94, "a"), (95, "𐐀𠀀")]:
+            folded = bytes(np.trim_zeros(decontaminate.fold([item_text])[0]))
+            if len(folded) < decontaminate.Q:
+                assert ((d, i) in found) == (b"\0" + folded + b"\0" in b"\0" + bytes(symbols)), (t, item_text)
+        for j, n in enumerate(index.ids[: index.long]):
             item = index.items[j].tolist()
             least = edits_within(item, symbols)
             assert ((d, n) in found) == (least <= index.edits[j]), (d, n, least, index.edits[j])
@@ -231,6 +239,10 @@ def test_decontamination_by_brute_force():
     d, i, e, a, b = next(m for m in index.search(texts) if m[0] == 4)
     assert texts[d][a:b].lower().strip(" !") == items[1][1]
     assert decontaminate.Index([]).search(texts) == []
+    # counting in pieces, within one q-gram's postings too, changes nothing
+    whole = index.search(texts)
+    monkeypatch.setattr(decontaminate, "SLICE", 50)
+    assert index.search(texts) == whole
 
 
 # --- personal data ---------------------------------------------------------------------------------------------------

@@ -396,11 +396,23 @@ def test_decontamination_in_blocks(spark, sf, monkeypatch):
     whole = sorted(map(tuple, decontaminate.matches(docs, benchmark).collect()))
     kept = decontaminate.clean(docs, benchmark).count()
     monkeypatch.setattr(decontaminate, "BLOCK_SYMBOLS", 2500)
+    assert len(list(decontaminate.indexes(benchmark))) > 1
     assert sorted(map(tuple, decontaminate.matches(docs, benchmark).collect())) == whole
     assert decontaminate.clean(docs, benchmark).count() == kept == docs.count() - len({r[0] for r in whole})
     assert decontaminate.matches(docs, benchmark.limit(0)).collect() == []
 
 
+def test_decontamination_of_odd_rows(spark, odd):
+    """Null texts and ids, repeated rows, ids of other types, clashing columns, short and empty items."""
+    more = odd.select("*", *(F.lit("mine").alias(c) for c in ("item_id", "edits", "block", "index", "start_char")))
+    items = spark.createDataFrame([("x", "FOUR five"), ("x", "FOUR five"), ("y", "four five"), (None, "id"), ("z", None), ("e", "..."), ("l", LONG[:1000])], "item_id string, text string")
+    got = sorted(str((r["doc_id"], r["item_id"], r["edits"])) for r in decontaminate.matches(more, items).collect())
+    assert got == sorted(str(x) for x in [(1, "x", 0), (1, "y", 0), (5, "x", 0), (5, "y", 0), (None, None, 0), (4, "l", 0), (4, "l", 0)])
+    left = decontaminate.clean(more, items)
+    assert left.columns == more.columns and sorted(r["doc_id"] for r in left.collect()) == [2, 3, 6]
+    assert decontaminate.matches(more.limit(0), items).collect() == [] == decontaminate.matches(more, items.limit(0)).collect()
+
+
 def test_read_column(spark):
     files = ogg.store_texts(spark.createDataFrame([(1, "abc"), (2, None)], "id long, text string")).select("id", "media")
     files = files.unionByName(spark.createDataFrame([(3, bytearray(b"no")), (4, None)], "id long, media binary"))
