@@ -5,9 +5,10 @@ against each automaton: a phrase is the longest stretch that occurs in the sampl
 lacks is a phrase of its own. Phrases are normalised as phrases * log2(sample length) / text length, an estimate of the cross
 entropy in bits per symbol; the language with the fewest normalised phrases wins, ties going to the first name.
 
-Texts are folded to symbols: letters lower-cased, each run of other characters one separator. The parse is cut every
-BLOCK symbols, for all languages alike, so that all blocks of a batch are parsed side by side in numpy and a long text
-takes no longer than many short ones.
+Texts are folded to symbols: letters lower-cased, each run of other characters one separator. All blocks of BLOCK symbols
+of a batch are parsed side by side in numpy, so that a long text takes no longer than many short ones. A block is first parsed
+as if a phrase began there; then, from the state in which the block before it ends, until both parses are in one state, from
+which on they are the same. The counts are those of one parse of the whole text.
 
 Defined cases: null, empty and letterless texts give `und` with score 0; without any labelled text every document is
 `und`; repeated rows give repeated results; other columns are not read, whatever their names.
@@ -26,6 +27,8 @@ from .common import held_out, map_batches, training_sample
 
 #: Bounds of the training sample: whole texts and characters for each language; symbols in a block of the parse.
 SAMPLE_TEXTS, SAMPLE_CHARS, BLOCK = 60, 24_000, 4096
+#: Every so many symbols the states of the two parses are compared.
+COMPARE = 64
 #: Steepness of the score over the difference in bits per symbol.
 STEEP = 4.0
 UND = "und"
@@ -151,26 +154,89 @@ class Model:
         owner = np.repeat(np.arange(len(texts)), blocks)
         at = starts[owner] + BLOCK * (np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
         size = np.minimum(BLOCK, ends[owner] - at)
+        n, m = len(self.languages), len(at)
+        # a lane is a block for one language; lanes of longer blocks come first
         order = np.argsort(-size, kind="stable")
-        at, size, owner = at[order], size[order], owner[order]
-        active = np.searchsorted(-size, -np.arange(BLOCK), side="left")  # blocks longer than t
-        n = len(self.languages)
-        state = np.repeat(self.roots[:, None], len(at), axis=1)
-        count = np.zeros((n, len(at)), np.int32)
-        for t in range(int(size[0]) if len(size) else 0):
-            a = int(active[t])
-            now, symbol = state[:, :a], flat[at[:a] + t]
-            place = self.base[now] + symbol
-            stays = self.owner[place] == now
-            # at a root, a letter starts a phrase whether the language has it or not
-            count[:, :a] += ~stays | (now == self.roots[:, None])
-            state[:, :a] = np.where(stays, self.next[place], self.starts[:, symbol])
+        lane_at, lane_size, language = np.repeat(at[order], n), np.repeat(size[order], n), np.tile(np.arange(n), m)
+        later = np.repeat(at[order] > starts[owner[order]], n)
+        state, count, marks = self.parse(flat, lane_at, lane_size, language, self.roots[language], later)
+        place = np.empty(m, np.int64)
+        place[order] = np.arange(m)
+        lane = lambda block: (place[block][:, None] * n + np.arange(n)).ravel()
+        follows = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+        while len(follows):  # blocks whose predecessor's end isn't the state they were begun in, or was changed
+            mine = lane(follows)
+            mine = mine[np.argsort(-lane_size[mine], kind="stable")]
+            before = lane(follows - 1)
+            given = dict(zip(lane(follows).tolist(), state[before].tolist(), strict=True))
+            entry = np.array([given[i] for i in mine.tolist()], state.dtype)
+            changed = self.amend(flat, lane_at, lane_size, language, mine, entry, state, count, marks)
+            again = np.unique(order[changed // n] + 1)
+            follows = again[np.isin(again, np.flatnonzero(owner[1:] == owner[:-1]) + 1)]
         total = np.zeros((n, len(texts)), np.int64)
         for i in range(n):
-            total[i] = np.bincount(owner, weights=count[i], minlength=len(texts))
+            total[i] = np.bincount(owner[order], weights=count[i::n], minlength=len(texts))
         letters = np.add.reduceat(flat > 0, starts, dtype=np.int64) if len(texts) else starts
         return total, lengths, letters
 
+    def step(self, state: np.ndarray, symbol: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and where a phrase begins."""
+        place = self.base[state] + symbol
+        stays = self.owner[place] == state
+        # at a root, a letter starts a phrase whether the language has it or not
+        return np.where(stays, self.next[place], self.starts[language, symbol]), ~stays | (state == self.roots[language])
+
+    def parse(self, flat: np.ndarray, at: np.ndarray, size: np.ndarray, language: np.ndarray, state: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict]:
+        """End state and phrases of lanes in descending order of size; and each COMPARE symbols, of the lanes marked later, the
+        states and the phrases so far."""
+        state, count, marks = state.copy(), np.zeros(len(at), np.int64), {}
+        watched = np.flatnonzero(later)
+        for t in range(int(size[0]) if len(size) else 0):
+            a = int(np.searchsorted(-size, -t, side="left"))
+            state[:a], begun = self.step(state[:a], flat[at[:a] + t], language[:a])
+            count[:a] += begun
+            if (t + 1) % COMPARE == 0 and len(watched):
+                w = watched[: np.searchsorted(watched, a)]
+                marks[t + 1] = dict(zip(w.tolist(), zip(state[w].tolist(), count[w].tolist(), strict=True), strict=True))
+        return state, count, marks
+
+    def amend(self, flat: np.ndarray, at: np.ndarray, size: np.ndarray, language: np.ndarray, lanes: np.ndarray, entry: np.ndarray, state: np.ndarray, count: np.ndarray, marks: dict) -> np.ndarray:
+        """Parse lanes once more from their entry states until they meet their former parse; state, count and marks become those of
+        the new one. Returns the lanes whose end state changed."""
+        now, new = entry.copy(), np.zeros(len(lanes), np.int64)
+        old_state = state[lanes].copy()
+        open_, done = np.ones(len(lanes), bool), 0
+        while open_.any():
+            idx = np.flatnonzero(open_)
+            for t in range(done, done + COMPARE):
+                live = idx[size[lanes[idx]] > t]
+                if not len(live):
+                    break
+                now[live], begun = self.step(now[live], flat[at[lanes[live]] + t], language[lanes[live]])
+                new[live] += begun
+            done += COMPARE
+            known = marks.get(done, {})
+            for k in idx.tolist():
+                lane = int(lanes[k])
+                if size[lane] <= done - COMPARE or size[lane] < done or lane not in known:
+                    if size[lane] <= done:
+                        state[lane], count[lane] = now[k], new[k]
+                        open_[k] = False
+                    continue
+                met_state, met_count = known[lane]
+                if met_state == now[k]:
+                    count[lane] += new[k] - met_count
+                    for later in marks:  # further marks of the lane count from the new beginning as well
+                        if later >= done and lane in marks[later]:
+                            marks[later][lane] = (marks[later][lane][0], marks[later][lane][1] + int(new[k]) - met_count)
+                    open_[k] = False
+                else:
+                    known[lane] = (int(now[k]), int(new[k]))
+                    if size[lane] == done:
+                        state[lane], count[lane] = now[k], new[k]
+                        open_[k] = False
+        return lanes[state[lanes] != old_state]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not texts or not self.languages:
             return [UND] * len(texts), [0.0] * len(texts)
