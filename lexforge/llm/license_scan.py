@@ -12,7 +12,7 @@ automaton.
 Score: 0 without a label, 1 with a label of a template, else 1 - 0.5 ** n_base.
 
 Defined cases: null is an empty text; no words: n_words 0, n_base 0, positions null, labels "", score 0; texts of any
-length are scanned whole; equal texts give equal results.
+length are scanned whole; equal texts give equal results; columns of docs that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ascii_lower, map_batches
+from .common import ascii_lower, map_batches, replacing
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -223,6 +223,7 @@ FIELDS = [("n_words", pa.int64(), "long"), ("n_base", pa.int64(), "long"), ("fir
 
 def scan_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of docs without the text, and what the scan found."""
+    docs = replacing(docs, text, *(n for n, _, _ in FIELDS))
     at, kept = docs.columns.index(text), [(n, t) for n, t in docs.dtypes if n != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

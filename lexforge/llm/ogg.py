@@ -12,7 +12,8 @@ position counts packets. Pages of the two are interleaved. Serial numbers derive
 payloads give equal files.
 
 Defined cases: null is an empty text; every payload is padded with bytes 0 to a positive multiple of BLOCK; texts of any
-length are stored whole; damaged files raise ValueError in read(), and read_column() gives a null feature and an error.
+length are stored whole; damaged files raise ValueError in read(), and read_column() gives a null feature and an error;
+columns that have the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_batches
+from .common import map_batches, replacing
 
 BLOCK, RATE, PACKET = 64, 8000, 16_384
 REVERSED = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
@@ -189,7 +190,9 @@ FIELDS = [("n_bytes", pa.int64(), "long"), ("payload_bytes", pa.int64(), "long")
 
 def store_texts(docs: DataFrame, text: str = "text", media: bool = True) -> DataFrame:
     """All columns of docs and, for each text, its stored form (media, if asked for) and what was read back from it."""
-    at, fields = docs.columns.index(text), [f for f in FIELDS if media or f[0] != "media"]
+    fields = [f for f in FIELDS if media or f[0] != "media"]
+    docs = replacing(docs, text, *(n for n, _, _ in fields))
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,6 +204,7 @@ def store_texts(docs: DataFrame, text: str = "text", media: bool = True) -> Data
 
 def read_column(files: DataFrame, media: str = "media") -> DataFrame:
     """All columns of files and, for each stored file, its payload, feature and error; a damaged or null file has an error alone."""
+    files = replacing(files, media, "payload", "feature", "error")
     at = files.columns.index(media)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

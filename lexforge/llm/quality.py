@@ -10,7 +10,7 @@ same at every size. Scores use the text alone.
 Defined cases: null and empty texts are scored as an empty text (one chunk of padding); texts of any length are read
 whole, in slices of bounded memory; repeated rows get equal scores; without labels of both kinds every score is 0.5;
 documents without a label row, and label rows without a document, don't matter; a document with several label rows
-counts as label 1 if their mean is at least 0.5.
+counts as label 1 if their mean is at least 0.5; a column of docs that has the name of the score is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, map_batches, training_sample
+from .common import held_out, map_batches, replacing, training_sample
 
 WIDTH, FILTERS, KERNEL, STRIDE, CHUNK, HIDDEN = 6, 24, 8, 4, 256, 16
 HALF, PER_HALF = CHUNK // 2, CHUNK // 2 // STRIDE
@@ -186,6 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network
 def classify(docs: DataFrame, net: Network | None, text: str = "text", score: str = "score") -> DataFrame:
     """All columns of docs and the score, a probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
+    docs = replacing(docs, text, score)
     at, schema = docs.columns.index(text), ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """The operators' cores against plain definitions, without Spark."""
 
+import hashlib
 import random
 import re
 import unicodedata
@@ -44,6 +45,31 @@ def test_cross_parsing_counts_greedy_phrases():
             assert lengths[j] == len(symbols) and letters[j] == (symbols > 0).sum()
 
 
+@pytest.mark.parametrize(("block", "compare"), [(7, 3), (64, 64), (50, 4), (4096, 64)])
+def test_language_blocks_change_nothing(monkeypatch, block, compare):
+    """Texts of many blocks have the phrases, the language and the score of one plain parse."""
+    rng = random.Random(5)
+    samples = {k: ["".join(rng.choice(k) for _ in range(400))] for k in ("abc ", "bcd ", "xyzéa ")}
+    texts = ["".join(rng.choice(rng.choice(["abc ", "bcd ", "xyzéa ", "qü. "])) for _ in range(rng.choice([0, 3, 60, 900]))) for _ in range(30)] + ["ab" * 800, "", "12 😀"]
+    monkeypatch.setattr(language_id, "BLOCK", block)
+    monkeypatch.setattr(language_id, "COMPARE", compare)
+    model = language_id.Model(samples)
+    total, lengths, letters = model.phrases(texts)
+    code = lambda t: "".join(chr(65 + s) for s in t)
+    flats = {k: code(model.symbols(samples[k])[0]) for k in model.languages}
+    langs, scores = model.predict(texts)
+    for j, t in enumerate(texts):
+        symbols = code(model.symbols([t])[0])
+        want = {k: longest_phrases(symbols, flats[k]) for k in model.languages}
+        assert total[:, j].tolist() == [want[k] for k in model.languages]
+        if not any(c.isalpha() for c in t):
+            assert (langs[j], scores[j]) == ("und", 0.0)
+            continue
+        rate = {k: want[k] * np.log2(len(flats[k])) / len(symbols) for k in want}
+        best = min(sorted(rate), key=rate.get)
+        assert langs[j] == best and abs(scores[j] - 1 / sum(np.exp(-language_id.STEEP * (r - rate[best])) for r in rate.values())) < 1e-9
+
+
 def test_language_blocks_and_edges(monkeypatch):
     model = language_id.Model({"x": ["abab abab"], "y": ["cdcd cdcd"]})
     langs, scores = model.predict([None, "", "12 34", "abab", "cdcd dcdc", "ab" * 10_000])
@@ -52,6 +78,7 @@ def test_language_blocks_and_edges(monkeypatch):
     one = model.phrases(["ab" * 5000])[0]
     assert (one >= 1).all()
     assert model.predict(ODD)[0][0] == "und"
+    assert model.predict(["😀😀", "𝟙𝟚 🎉", "٣"]) == (["und"] * 3, [0.0] * 3) and model.predict(["𐐀😀"])[0] != ["und"]
 
 
 def test_language_of_many_letters():
@@ -153,6 +180,29 @@ def test_network_learns_and_gradient_is_right():
         assert abs(slope - grads[name][at]) < 1e-3 + 0.05 * abs(slope), name
 
 
+def plain_score(net, text):
+    """The network byte by byte, chunk by chunk."""
+    q, p = quality, net.p
+    data = (text or "").encode()
+    data += bytes(q.STRIDE + (-len(data) - q.STRIDE) % q.HALF)
+    windows = {}
+    for at in range(0, len(data) - q.KERNEL + 1, q.STRIDE):
+        x = np.concatenate([p["emb"][b] for b in data[at : at + q.KERNEL]]).astype(np.float64)
+        windows[at] = np.maximum(x @ p["w"] + p["b"], 0)
+    halves = [np.max([windows[a] for a in range(h, h + q.HALF, q.STRIDE) if a in windows], axis=0) for h in range(0, len(data), q.HALF)]
+    chunks = [np.maximum(a, b) for a, b in zip(halves, halves[1:], strict=False)] + [halves[-1]]
+    x = np.concatenate([np.max(halves, axis=0), np.mean(chunks, axis=0)])
+    hidden = np.maximum(x @ p["u"] + p["c"], 0)
+    return 1 / (1 + np.exp(-float(hidden @ p["v"] + p["d"][0])))
+
+
+def test_network_by_brute_force():
+    rng = random.Random(2)
+    net = quality.Network(3)
+    texts = [None, "", "a", "é日本😀" * 40] + ["".join(rng.choice("abc é.\n") for _ in range(n)) for n in (1, 7, 8, 123, 124, 125, 127, 128, 129, 251, 252, 256, 300, 1000, 5000)]
+    assert np.allclose(net.score(texts), [plain_score(net, t) for t in texts], atol=1e-5)
+
+
 # --- SimHash ---------------------------------------------------------------------------------------------------------
 
 
@@ -461,6 +511,46 @@ def test_ogg():
         ogg.read(bytes(media[:-5]))
 
 
+def independent_streams(data):
+    """A reader of its own: pages by a bitwise checksum, packets by lacing, each with its stream and granule position."""
+    out, open_, at = {}, {}, 0
+    while at < len(data):
+        assert data[at : at + 5] == b"OggS\0"
+        flags, granule = data[at + 5], int.from_bytes(data[at + 6 : at + 14], "little", signed=True)
+        serial, number, crc = (int.from_bytes(data[at + k : at + k + 4], "little") for k in (14, 18, 22))
+        lacing = data[at + 27 : at + 27 + data[at + 26]]
+        end = at + 27 + len(lacing) + sum(lacing)
+        assert bitwise_checksum(data[at : at + 22] + bytes(4) + data[at + 26 : end]) == crc
+        pages, packets = out.setdefault(serial, ([], []))
+        assert number == len(pages) and bool(flags & 2) == (not pages) and bool(flags & 1) == (serial in open_)
+        pages.append((flags, granule))
+        body, done = at + 27 + len(lacing), 0
+        for value in lacing:
+            open_[serial] = open_.get(serial, b"") + data[body : body + value]
+            body += value
+            if value < 255:
+                packets.append(open_.pop(serial))
+                done += 1
+        assert (granule == -1) == (not done)
+        at = end
+    assert not open_ and all(pages[-1][0] & 4 for pages, _ in out.values())
+    return out
+
+
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 254, 255, 16_383, 16_385, 65_025, 70_001])
+def test_ogg_by_an_independent_reader(size):
+    text = ("aé\n日" * (size // 2 + 1)).encode()[:size].decode("utf-8", "ignore")
+    got = ogg.column([text])[0]
+    streams = independent_streams(got["media"])
+    raw = text.encode()
+    payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+    assert len(streams) == 2 and hashlib.sha256(got["media"]).hexdigest() == got["media_sha256"]
+    main = next(v for v in streams.values() if v[1][0].startswith(ogg.SAMPLES_ID))
+    note = next(v for v in streams.values() if v[1][0].startswith(ogg.NOTE_ID))
+    assert b"".join(main[1][1:]) == payload and main[0][-1][1] == len(payload) and int.from_bytes(note[1][1], "little") == len(raw)
+    assert (got["payload_bytes"], got["payload_sha256"], got["tail_crc32"], got["media_bytes"]) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(got["media"]))
+
+
 # --- sentences -------------------------------------------------------------------------------------------------------
 
 

@@ -59,10 +59,32 @@ def test_odd_rows(spark, odd, labels, benchmark, name):
     assert run(name, odd.limit(0), labels.limit(0), benchmark).collect() == []
 
 
+MADE = ["score", "fp", "lang_pred", "entities", "label", "unit", "key", "pos", "h", "first", "component", "node", "n_tokens", "token_ids", "decoded", "feature", "media", "media_bytes", "removed", "place", "tag", "labels", "spans", "item", "n", "least", "share", "v", "k"]
+
+
 def test_extra_columns_that_clash(spark, odd, labels, benchmark):
-    more = odd.select("*", *(F.lit("mine").alias(c) for c in ("score", "fp", "lang_pred", "entities", "label", "unit", "key", "pos", "h1", "first", "component", "node", "n_tokens")))
+    """Columns that have the name of a result are replaced, others stay; no name is there twice."""
+    more = odd.select("*", *(F.lit("mine").alias(c) for c in MADE))
+    marks = labels.select("*", *(F.lit("mine").alias(c) for c in ("text", "__label", "k", "t")))
     for name in NAMES:
-        assert run(name, more, labels, benchmark).count() == 8
+        assert run(name, more, marks, benchmark).count() == 8
+    inner = {
+        "bpe": (bpe.encode_texts(more), ["n_tokens", "token_ids", "ids_sha256", "decoded", "decoded_sha256"]),
+        "ogg": (ogg.store_texts(more), [n for n, _, _ in ogg.FIELDS]),
+        "pii": (pii.surrogates(more, b"k"), ["entities"]),
+        "quality": (quality.classify(more, None), ["score"]),
+        "dedup": (substring_dedup.remove_repeats(more), ["removed"]),
+        "read": (ogg.read_column(ogg.store_texts(more)), ["payload", "feature", "error"]),
+    }
+    for name, (frame, made) in inner.items():
+        assert len(set(frame.columns)) == len(frame.columns), name
+        rows = frame.select(*made, "unit", "doc_id").collect()
+        assert len(rows) == 8 and {r["unit"] for r in rows} == {"mine"}, name
+        assert all(str(r[m]) != "mine" for r in rows for m in made), name
+    licenses = license_scan.scan_texts(more)
+    assert len(set(licenses.columns)) == len(licenses.columns) and licenses.select("labels").distinct().count() == 1
+    with pytest.raises(ValueError):
+        bpe.encode_texts(more, text="decoded")
     docs = decontaminate.clean(more, benchmark)
     assert docs.columns == more.columns and docs.count() == 8
     assert simhash.one_of_each_group(more).columns == more.columns
@@ -81,6 +103,8 @@ def test_training_sample_is_bounded_and_stable(spark):
     assert {k: len(v) for k, v in got.items()} == {"hot": 40, "rare": 40}
     assert got == common.training_sample(rows.repartition(7), "lang", rows.repartition(3), "text", "doc_id", 40, 10_000, 1)
     assert sum(map(len, common.training_sample(rows, "lang", rows, "text", "doc_id", 40, 95, 1)["hot"])) <= 95
+    many = rows.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 500))
+    assert len(common.training_sample(many, "lang", many, "text", "doc_id", 3, 10_000, 1)) == 500
     longer = rows.withColumn("text", F.repeat(F.lit("y"), 500))
     only = common.training_sample(longer, "lang", longer, "text", "doc_id", 40, 95, 1)
     assert [len(t) for t in only["hot"]] == [95]
