@@ -11,7 +11,8 @@ and probes that index with all patterns within t; of the two fingerprints of a p
 at the lowest differing place. Candidates are verified on all 64 bits. Nothing is capped.
 
 Equal fingerprints are one node of the graph; components come from large-star and small-star rounds. Exact copies never
-become pairs.
+become pairs, and a fingerprint has at most as many links as there are others within RADIUS bits (43,744), whatever the input.
+The rows of a fingerprint that very many have aren't gathered: its component comes to them as a broadcast of bounded size.
 
 Defined cases: null and empty texts, and texts of white space, have fingerprint zero, which links like any other;
 texts with one or two words are hashed whole; a null doc_id is a document that names no component; rows with equal ids
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_batches
+from .common import checkpointed, join_on_counted, map_batches, written
 from .components import connected_components
 
 BITS, RADIUS, SHINGLE, SEED, PARTS = 64, 3, 3, 42, 2
@@ -174,17 +175,18 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> DataFrame
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every row."""
     rows = checkpointed(fingerprints(docs, text))
-    return rows.join(least_of_components(rows, "doc_id").withColumnRenamed("least", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    least = least_of_components(rows, "doc_id").withColumnRenamed("least", "component_id")
+    return join_on_counted(rows, least, ["fp"]).select("doc_id", "fp", "component_id")
 
 
 def least_of_components(rows: DataFrame, key: str) -> DataFrame:
-    """Each fingerprint fp and the least key of the rows of its component."""
-    nodes = rows.groupBy("fp").agg(F.min(key).alias("first"))
+    """Each fingerprint fp, how many rows have it, and the least key of the rows of its component."""
+    nodes = written(rows.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("n")))
     found = connected_components(links(nodes.select("fp")))
     inside = found.withColumnRenamed("node", "fp").join(nodes, "fp")
     least = inside.groupBy("component").agg(F.min("first").alias("least"))
     linked = found.join(least, "component").select(F.col("node").alias("fp"), "least")
-    return nodes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("least"))
+    return nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("least", "first").alias("least"))
 
 
 def hex_digits(fp: Column) -> Column:
