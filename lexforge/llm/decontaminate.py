@@ -38,7 +38,7 @@ Q, EDITS, BLOCK_SYMBOLS = 8, 0.08, 4_000_000
 SLICE = 1 << 17
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Diagonals are counted from so far to the left, which is more than the symbols of any item.
-FAR_LEFT = 1 << 32
+FAR_LEFT, LOW = 1 << 32, (1 << 40) - 1
 
 
 def symbol_of(char: str) -> int:
@@ -163,43 +163,46 @@ class Index:
         return list(out.values())
 
     def bands(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Item and lowest diagonal of every band whose count of shared q-grams reaches the item's bound."""
+        """Item and lowest diagonal of every band whose count of shared q-grams reaches the item's bound.
+
+        Hits are counted in the order of the text. A band of an item is complete, and leaves, once the text is further than the
+        item is long, so what is held depends on the items and not on the text.
+        """
         where, which, count = self.hits(symbols)
         total = np.append(0, np.cumsum(count))
         cells, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found: list[np.ndarray] = []
         keys: list[np.ndarray] = []
         numbers: list[np.ndarray] = []
         held = 0
-
-        def merge() -> None:
-            nonlocal cells, counts, held
-            cells, inverse = np.unique(np.concatenate([cells, *keys]), return_inverse=True)
-            counts = np.bincount(inverse, weights=np.concatenate([counts, *numbers]), minlength=len(cells)).astype(np.int64)
-            keys.clear()
-            numbers.clear()
-            held = 0
-
         for at in range(0, int(total[-1]), SLICE):  # so many postings at a time, also within one q-gram's
-            place = np.arange(at, min(at + SLICE, int(total[-1])))
-            hit = np.searchsorted(total, place, side="right") - 1
-            posting = self.first[which[hit]] + (place - total[hit])
+            end = min(at + SLICE, int(total[-1]))
+            a, b = int(np.searchsorted(total, at, side="right")) - 1, int(np.searchsorted(total, end, side="left"))
+            edges = np.clip(total[a : b + 1], at, end)
+            hit = np.repeat(np.arange(a, b), np.diff(edges))
+            posting = np.arange(at, end) + (self.first[which[a:b]] - total[a:b])[hit - a]
             item = self.item[posting].astype(np.int64)
             diagonal = where[hit] - self.place[posting] + FAR_LEFT
             key, number = np.unique(item << 40 | (diagonal // (self.edits[item] + 1)), return_counts=True)
             keys.append(key)
             numbers.append(number)
             held += len(key)
-            if held > 4 * SLICE:
-                merge()
-        merge()
-        if not len(cells):
-            return cells, cells
-        # bands are two neighbouring cells of half their width; one that begins in the empty cell before counts as well
-        follow = np.zeros(len(cells), np.int64)
-        joined = np.flatnonzero(cells[1:] == cells[:-1] + 1)
-        follow[joined] = counts[joined + 1]
-        good = cells[counts + follow >= self.least[cells >> 40]]
-        return good >> 40, (good & ((1 << 40) - 1)) * (self.edits[good >> 40] + 1) - FAR_LEFT
+            last = end == total[-1]
+            if held > 4 * SLICE or last:
+                cells, inverse = np.unique(np.concatenate([cells, *keys]), return_inverse=True)
+                counts = np.bincount(inverse, weights=np.concatenate([counts, *numbers]), minlength=len(cells)).astype(np.int64)
+                keys, numbers, held = [], [], 0
+                # bands are two neighbouring cells of half their width; one that begins in the empty cell before counts as well
+                follow = np.zeros(len(cells), np.int64)
+                joined = np.flatnonzero(cells[1:] == cells[:-1] + 1)
+                follow[joined] = counts[joined + 1]
+                item = cells >> 40
+                stays = ((cells & LOW) + 2) * (self.edits[item] + 1) - FAR_LEFT >= where[b - 1] - self.length[item]
+                done = np.ones(len(cells), bool) if last else ~stays
+                found.append(cells[done & (counts + follow >= self.least[item])])
+                cells, counts = cells[~done], counts[~done]
+        good = np.concatenate(found) if found else cells
+        return good >> 40, (good & LOW) * (self.edits[good >> 40] + 1) - FAR_LEFT
 
     def verified(self, item: np.ndarray, low: np.ndarray, symbols: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
         """Text and item, with edits, start and end, of the regions that banded alignment confirms: the item whole, the region's
