@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Texts of so many bytes are work enough for a task.
 SPREAD_BYTES = 1 << 20
 
+#: Workers give what a batch took back to the system instead of keeping it for the next one.
+MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": str(4 << 20)}
+
 
 def importable(spark: SparkSession | None = None) -> None:
     """Let Python workers that are started from now on find this package.
@@ -22,6 +25,8 @@ def importable(spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.active()
     context = spark.sparkContext
     root, known = str(Path(__file__).resolve().parents[1]), context.environment
+    for name, value in MEMORY.items():
+        known.setdefault(name, value)
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
         if not context.master.startswith("local"):
