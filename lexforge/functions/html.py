@@ -66,14 +66,22 @@ def clean(raw: str | bytes | None) -> str | None:
     return normalize(" ".join(parser.parts))
 
 
+def clean_or_error(raw: str | bytes | None) -> tuple[str | None, str | None]:
+    """The plain text, or why there is none: a damaged archive, or markup that the parser gives up on."""
+    try:
+        return clean(raw), None
+    except Exception as e:
+        return None, f"{type(e).__name__}: {e}"
+
+
 def clean_html(raw: Column) -> Column:
-    """Plain text of HTML as string or bytes, gzipped or not."""
+    """text and error of HTML as string or bytes, gzipped or not: one bad document is an error of its row, not of the job."""
 
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(clean, na_action="ignore")
+    def run(pages: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None) if p is None else clean_or_error(p) for p in pages], columns=["text", "error"])
 
     importable()
-    return F.pandas_udf(run, "string")(raw)
+    return F.pandas_udf(run, "text string, error string")(raw)
 
 
 def nfkc(text: Column) -> Column:

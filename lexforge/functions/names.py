@@ -66,6 +66,6 @@ def year(date: Column) -> Column:
     return F.substring(date, 1, 4).try_cast("int")
 
 
-def find(text: Column, part: Column) -> Column:
-    """Zero-based place of the part, -1 if there is none."""
-    return F.locate(part, text) - 1 if isinstance(part, str) else F.call_function("locate", part, text) - 1
+def find(text: str, part: str) -> Column:
+    """Zero-based place of a column's text in another's, -1 if there is none or it is empty."""
+    return F.when(F.coalesce(F.col(part), F.lit("")) != "", F.expr(f"coalesce(locate({part}, {text}), 0)") - 1).otherwise(-1)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import MEASURES
-
 #: White space as Python's str.split() has it.
 SPACE = r"(?U)[\s\x1c-\x1f]+"
 #: Thresholds of the flags of a whole filing and of its sections.
@@ -94,6 +92,11 @@ def section_record(text: Column, full_words: Column, floor: Column | int = 0, le
     return F.struct(status.alias("status"), n.alias("word_count"), chars.alias("char_count"), F.array_compact(F.array(flag)).alias("suspicious_flags"), F.substring(F.coalesce(text, F.lit("")), 1, EXCERPT).alias("head_excerpt"))
 
 
+def missing_record(flag: str) -> Column:
+    """The record of a section that there is no text of."""
+    return F.struct(F.lit("missing").alias("status"), F.lit(0).cast("bigint").alias("word_count"), F.lit(0).cast("bigint").alias("char_count"), F.array(F.lit(flag)).alias("suspicious_flags"), F.lit("").alias("head_excerpt"))
+
+
 def risk_least(form: Column) -> Column:
     """Quarterly risk factors may be a sentence."""
     return F.when(form == "10-Q", 0).otherwise(PARSED_WORDS)
@@ -107,7 +110,3 @@ def filing_status(full: Column, risk: Column, mdna: Column) -> Column:
 def jump_ratio(now: Column, before: Column) -> Column:
     """Larger by smaller length, null if either is 0 or null."""
     return F.when((now > 0) & (before > 0), F.greatest(now, before) / F.least(now, before))
-
-
-def measures(of) -> list[Column]:
-    return [of(m).alias(m) for m in MEASURES]

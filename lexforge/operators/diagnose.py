@@ -19,16 +19,23 @@ def parse_records(filings: DataFrame, texts: DataFrame, parsed_at: str | None =
 
 
 def section_records(parsed: DataFrame, sections: DataFrame, extractor: str = "headings") -> DataFrame:
-    """parsed with both sections' records and the filing's status; sections has accession, risk_factors, mdna and maybe error."""
-    rows = parsed.drop("risk_factors", "mdna").join(sections.select("accession", F.col("risk_factors").alias("__rf"), F.col("mdna").alias("__md")), "accession", "left")
+    """parsed with both sections' records and the filing's status; sections has accession, risk_factors, mdna and maybe error.
+
+    Where the error says that the raw file is gone, both sections are missing and flagged for it, and the filing fails.
+    """
+    gone = F.lit(False) if "error" not in sections.columns else F.coalesce(F.col("__error") == "raw_missing", F.lit(False))
+    rows = parsed.drop("risk_factors", "mdna").join(sections.select("accession", F.col("risk_factors").alias("__rf"), F.col("mdna").alias("__md"), (F.col("error") if "error" in sections.columns else F.lit(None).cast("string")).alias("__error")), "accession", "left")
     words = F.col("full.word_count")
+    lost = lambda record: F.when(gone, fn.missing_record("raw_missing")).otherwise(record)
     out = rows.withColumns({
-        "risk_factors": fn.section_record(F.col("__rf"), words, 0, fn.risk_least(F.col("form_type"))),
-        "mdna": fn.section_record(F.col("__md"), words, fn.MDNA_FLOOR),
+        "risk_factors": lost(fn.section_record(F.col("__rf"), words, 0, fn.risk_least(F.col("form_type")))),
+        "mdna": lost(fn.section_record(F.col("__md"), words, fn.MDNA_FLOOR)),
         "section_extractor_version": F.lit(EXTRACTOR_VERSION),
         "extractor": F.lit(extractor),
     })
-    return out.withColumn("status", fn.filing_status(F.col("full.status"), F.col("risk_factors.status"), F.col("mdna.status"))).drop("__rf", "__md")
+    status = F.when(gone, "section_fail").otherwise(fn.filing_status(F.col("full.status"), F.col("risk_factors.status"), F.col("mdna.status")))
+    error = F.coalesce("__error", *(["error"] if "error" in parsed.columns else []))
+    return out.withColumns({"status": status, "error": error}).drop("__rf", "__md", "__error")
 
 
 def section_texts(records: DataFrame, sections: DataFrame) -> DataFrame:
@@ -147,6 +154,23 @@ def samples(records: DataFrame, n: int, suspicious: bool, seed: int = 0) -> Data
     return seeded(rows.where(is_flagged() if suspicious else ~is_flagged()), n, seed).select("cik", "accession", "status")
 
 
+def full_samples(records: DataFrame, n: int, suspicious: bool, seed: int = 0) -> DataFrame:
+    """As samples(), by the flags of the full texts that parsed."""
+    bad = F.size("full.suspicious_flags") > 0
+    return seeded(records.where((F.col("full.status") == "ok") & (bad if suspicious else ~bad)), n, seed).select("cik", "accession", "status")
+
+
+def excerpts(picked: DataFrame, records: DataFrame, texts: DataFrame, sections: tuple[str, ...], size: int = 1000) -> DataFrame:
+    """A row for each picked filing and section: its record, and the first and last characters of its text (null: none)."""
+    fields = F.array(*(F.struct(F.lit(s).alias("section"), F.col(f"{s}.status").alias("status"), F.col(f"{s}.word_count").alias("word_count"), F.col(f"{s}.suspicious_flags").alias("flags")) for s in sections))
+    rows = records.join(picked.select("accession"), "accession", "left_semi").select("cik", "accession", F.explode(fields).alias("x")).select("cik", "accession", "x.*")
+    both = rows.join(texts.join(picked.select("accession"), "accession", "left_semi"), ["accession", "section"], "left")
+    text = F.col("text")
+    tail = F.when(F.length(text) > 2 * size, F.right(text, F.lit(size)))
+    head = F.when(F.length(text) > 2 * size, F.left(text, F.lit(size))).otherwise(text)
+    return both.select("cik", "accession", "section", "status", "word_count", F.coalesce("flags", F.array().cast("array<string>")).alias("flags"), head.alias("head"), tail.alias("tail")).orderBy("accession", "section")
+
+
 def validation_set(records: DataFrame, filings: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """A quarter each of jumps, over-extracted, oldest and clean filings; a filing counts in the first that has it."""
     k, rows = max(1, n // 4), current(records)
@@ -167,6 +191,14 @@ def validation_set(records: DataFrame, filings: DataFrame, n: int, seed: int = 0
     return first.join(used.select("accession", F.coalesce("filing_date", F.lit("")).alias("filing_date")), "accession", "left").orderBy("bucket", "accession").limit(n)
 
 
+LABELS = [f"{s}_{end}_substring" for s in ("risk_factors", "mdna") for end in ("start", "end")]
+
+
+def validation_sheet(picked: DataFrame) -> DataFrame:
+    """The rows of a sheet to be labelled by hand: empty columns for the section's limits and notes."""
+    return picked.select("cik", "accession", "filing_date", *(F.lit("").alias(c) for c in (*LABELS, "notes")))
+
+
 def validation_accuracy(labels: DataFrame, texts: DataFrame, start_within: int = 200, end_within: int = 1000) -> DataFrame:
     """Of labelled sections: found, begun near the label's start, ended near its end.
 
@@ -176,7 +208,7 @@ def validation_accuracy(labels: DataFrame, texts: DataFrame, start_within: int =
     long = labels.select("accession", pairs).select("accession", "x.*").where("coalesce(head, '') != '' or coalesce(tail, '') != ''")
     full = texts.where(F.col("section") == "full").select("accession", F.col("text").alias("full"))
     rows = long.join(texts.where("coalesce(text, '') != ''"), ["accession", "section"], "left").join(full, "accession", "left")
-    place = lambda part: F.expr(f"if(coalesce({part}, '') != '', locate({part}, full) - 1, -1)")
-    rows = rows.withColumns({"label_start": place("head"), "label_end": place("tail"), "start": place("substring(text, 1, 200)")})
+    rows = rows.withColumn("opening", F.substring("text", 1, 200))
+    rows = rows.withColumns({"label_start": names.find("full", "head"), "label_end": names.find("full", "tail"), "start": names.find("full", "opening")})
     near = lambda label, found, within: F.count_if((F.col(label) >= 0) & (F.col("start") >= 0) & (F.abs(F.col(label) - found) <= within))
     return rows.groupBy("section").agg(F.count("*").alias("labelled"), F.count("text").alias("found"), near("label_start", F.col("start"), start_within).alias("start_ok"), near("label_end", F.col("start") + F.length("text"), end_within).alias("end_ok"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
+import os
+import shlex
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -18,6 +20,8 @@ class Config:
     amendments: bool
     history_start: str
     gzip: bool = True
+    #: Buckets of a table that is made anew; as many as a table's share for one task asks for.
+    buckets: int = 16
 
     def raw(self, stack: str) -> Path:
         return self.data_root / of_stack(stack) / "raw"
@@ -42,6 +46,10 @@ class Config:
     def lexicon(self) -> Path:
         return self.data_root / "lm_master_dictionary.csv"
 
+    @property
+    def labels(self) -> Path:
+        return self.data_root / "sp500" / "validation_labels.csv"
+
     @property
     def stamp(self) -> Path:
         return self.data_root / "last_refresh.txt"
@@ -59,14 +67,26 @@ class Config:
         return dataclasses.replace(self, form_types=("10-Q",))
 
 
+def read_env(path: Path) -> dict[str, str]:
+    """NAME=value lines of a file of settings, if it is there; quotes, `export` and comments as shells have them."""
+    out = {}
+    for line in path.read_text().splitlines() if path.exists() else ():
+        name, found, value = line.strip().removeprefix("export ").partition("=")
+        if found and name.strip().isidentifier():
+            out[name.strip()] = next(iter(shlex.split(value, comments=True)), "")
+    return out
+
+
 def load(path: str | Path = "config.yaml") -> Config:
     """A relative data_root counts from the file's folder."""
     import yaml
 
     path = Path(path)
+    for name, value in read_env(path.parent / ".env").items():  # what the environment has already stays
+        os.environ.setdefault(name, value)
     if not path.exists():
         raise FileNotFoundError(f"{path} isn't there; copy config.example.yaml and edit it")
     raw = yaml.safe_load(path.read_text())
     root = Path(raw["paths"]["data_root"])
     universe, sec = raw["universe"], raw["sec"]
-    return Config(root if root.is_absolute() else (path.parent / root).resolve(), str(sec["user_agent"]), int(sec["rate_limit_per_sec"]), tuple(universe["form_types"]), bool(universe["include_amendments"]), str(universe["history_start"]), bool((raw.get("download") or {}).get("gzip", True)))
+    return Config(root if root.is_absolute() else (path.parent / root).resolve(), str(sec["user_agent"]), int(sec["rate_limit_per_sec"]), tuple(universe["form_types"]), bool(universe["include_amendments"]), str(universe["history_start"]), bool((raw.get("download") or {}).get("gzip", True)), int((raw.get("tables") or {}).get("buckets", 16)))

@@ -11,21 +11,23 @@ from pyspark.sql import functions as F
 
 from ..operators import rank
 
-LABELS = {10: "Decile 10 — most negative", 1: "Decile 1 — least negative"}
-TITLES = {"mdna": "MD&A", "risk": "Risk Factors"}
+HEADINGS = {10: "Top tenth: most negative wording", 1: "Bottom tenth: least negative wording"}
+TITLES = {"mdna": "Management discussion", "risk": "Risk factors"}
+
+
+def shown_rows(ranks: DataFrame, shown: tuple[int, ...] = rank.DISPLAYED) -> DataFrame:
+    """section and the rows of its shown deciles, for both sections."""
+    parts = [rank.decile_rows(ranks, k).where(F.col("decile").isin(*shown)).select(F.lit(k).alias("section"), "*") for k in rank.SHORT.values()]
+    return parts[0].unionByName(parts[1])
 
 
 def context(scores: DataFrame, filings: DataFrame, members: DataFrame, shown: tuple[int, ...] = rank.DISPLAYED, n_filings: int = 4) -> dict:
     """Rows of the shown deciles, filings of the tickers in them, boundaries and counts: a page's worth, collected here."""
     ranks = rank.compute_ranks(scores, filings, members, n_filings).persist()
-    deciles: dict[int, dict[str, list[dict]]] = {n: {} for n in shown}
-    summary = {}
+    rows = [r.asDict() for r in shown_rows(ranks, shown).orderBy("section", "decile", "rank").collect()]
+    deciles = {n: {k: [{x: r[x] for x in r if x != "section"} for r in rows if r["decile"] == n and r["section"] == k] for k in rank.SHORT.values()} for n in shown}
     counts = rank.scored_counts(ranks).first()
-    for k in rank.SHORT.values():
-        rows = [r.asDict() for r in rank.decile_rows(ranks, k).where(F.col("decile").isin(*shown)).orderBy("decile", "rank").collect()]
-        for n in shown:
-            deciles[n][k] = [r for r in rows if r["decile"] == n]
-        summary[k] = {"boundaries": [r["boundary"] for r in rank.decile_boundaries(ranks, f"mean_neg_{k}").orderBy("position").collect()], "n_scored": counts[f"n_scored_{k}"]}
+    summary = {k: {"boundaries": [r["boundary"] for r in rank.decile_boundaries(ranks, f"mean_neg_{k}").orderBy("position").collect()], "n_scored": counts[f"n_scored_{k}"]} for k in rank.SHORT.values()}
     visible = ranks.where(F.col("decile_mdna").isin(*shown) | F.col("decile_risk").isin(*shown))
     detail: dict[str, list[dict]] = {}
     ordered = rank.filing_detail(scores, filings, members, visible).orderBy(*rank.detail_order())
@@ -41,64 +43,63 @@ def island(data: object) -> str:
     return json.dumps(data, ensure_ascii=False).replace("<", "\\u003c").replace(">", "\\u003e").replace("&", "\\u0026")
 
 
-def table(rows: list[dict], key: str) -> str:
-    if not rows:
-        return '<p class="empty">no constituents in this decile</p>'
+def company(row: dict) -> str:
+    """One company: a line that opens to its filings."""
     e = html.escape
-    body = "".join(
-        f'<tr class="row" data-ticker="{e(r["ticker"])}" data-detail="{key}-{i}"><td>{r["rank"]}</td><td style="border-left:4px solid {e(r["sector_colour"])}">{e(r["ticker"])}</td><td>{e(r["name"])}</td><td>{e(r["sector"])}</td><td>{r["mean_neg"]:.5f}</td><td>{r["filing_count"]}</td></tr><tr class="detail" id="{key}-{i}" hidden><td colspan="6"></td></tr>'
-        for i, r in enumerate(rows, 1)
-    )
-    return f"<table><thead><tr><th>#</th><th>Ticker</th><th>Name</th><th>Sector</th><th>Mean Neg</th><th>Filings</th></tr></thead><tbody>{body}</tbody></table>"
-
-
-STYLE = "body{font:14px sans-serif;display:flex;margin:0}aside{position:sticky;top:0;height:100vh;padding:16px;width:200px}aside a.active{font-weight:bold}main{padding:16px;flex:1}.pair{display:flex;gap:24px}table{border-collapse:collapse}td,th{padding:2px 8px;text-align:left}tr.row{cursor:pointer}"
-#: Filing rows are made on the first click; the navigation follows what is in sight.
+    return f'<details data-of="{e(row["ticker"])}"><summary><b>{row["rank"]}</b><i style="background:{e(row["sector_colour"])}" title="{e(row["sector"])}"></i><span>{e(row["ticker"])}</span><span>{e(row["name"])}</span><span>{100 * row["mean_neg"]:.3f}%</span><span>{row["filing_count"]} filings</span></summary></details>'
+
+
+STYLE = """
+body { margin: 2rem auto; max-width: 80rem; font: 15px/1.5 system-ui; color: #222 }
+nav a { margin-right: 1.5rem }
+section { display: none }
+section:target, body:not(:has(section:target)) section:first-of-type { display: block }
+.columns { display: grid; grid-template-columns: 1fr 1fr; gap: 2rem }
+summary { display: grid; grid-template-columns: 2rem 1rem 5rem 1fr 5rem 6rem; gap: .5rem; cursor: pointer }
+summary i { width: .8rem; height: .8rem; border-radius: 50%; align-self: center }
+dl { display: grid; grid-template-columns: repeat(5, auto); font-size: 13px; margin: 0 0 1rem 3rem }
+"""
+#: A company's filings are made when its line is opened for the first time. Which tenth is shown is up to the address.
 SCRIPT = """
-const filings = JSON.parse(document.getElementById('filings').textContent);
-const cell = (row, value) => { row.insertCell().textContent = value ?? '—'; };
-document.querySelectorAll('tr.row').forEach(row => row.onclick = () => {
-  const detail = document.getElementById(row.dataset.detail), slot = detail.cells[0];
-  if (!slot.firstChild) {
-    const table = document.createElement('table');
-    for (const f of filings[row.dataset.ticker] || []) {
-      const r = table.insertRow();
-      [f.acceptance_dt, f.period_of_report, f.section, f.neg === null ? null : f.neg.toFixed(5), f.total_words].forEach(v => cell(r, v));
-    }
-    slot.append(table.rows.length ? table : 'no filing detail');
-  }
-  detail.hidden = !detail.hidden;
-});
-const seen = new IntersectionObserver(found => found.filter(x => x.isIntersecting).forEach(x =>
-  document.querySelectorAll('aside a').forEach(a => a.classList.toggle('active', a.hash === '#' + x.target.id))), {rootMargin: '-40% 0px -55% 0px'});
-document.querySelectorAll('section').forEach(s => seen.observe(s));
+const known = JSON.parse(document.querySelector('#detail').textContent);
+addEventListener('toggle', event => {
+  const at = event.target;
+  if (!at.open || at.querySelector('dl')) return;
+  const list = at.appendChild(document.createElement('dl'));
+  for (const filing of known[at.dataset.of] ?? [])
+    for (const value of [filing.acceptance_dt, filing.period_of_report, filing.section, filing.neg == null ? '' : (100 * filing.neg).toFixed(3) + '%', filing.total_words + ' words'])
+      list.appendChild(document.createElement('dd')).textContent = value;
+  if (!list.childElementCount) list.textContent = 'There are no filings of this company.';
+}, true);
 """
 
 
 def render(data: dict, refreshed: str) -> str:
     e, shown = html.escape, list(data["deciles"])
-    label = lambda n: LABELS.get(n, f"Decile {n}")
-    summary = "".join(f"<p><b>{e(TITLES[k])}:</b> {s['n_scored']} scored" + (" · Boundaries: " + " | ".join(f"{b:.4f}" for b in s["boundaries"]) if s["boundaries"] else "") + "</p>" for k, s in data["summary"].items())
-    sections = "".join(f'<section id="decile-{n}"><h2>{e(label(n))}</h2><div class="pair">' + "".join(f"<div><h3>{e(TITLES[k])}</h3>{table(rows, f'd{n}-{k}')}</div>" for k, rows in data["deciles"][n].items()) + "</div></section>" for n in shown)
-    nav = "".join(f'<li><a href="#decile-{n}">{e(label(n))}</a></li>' for n in shown)
-    return f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>Filing sentiment</title><style>{STYLE}</style></head><body><aside><h2>Deciles</h2><ul>{nav}</ul></aside><main><h1>Filing sentiment</h1><p>Last updated: {e(refreshed)} · {data["summary"]["mdna"]["n_scored"]} constituents scored (MD&amp;A)</p>{summary}{sections}</main><script type="application/json" id="filings">{island(data["detail"])}</script><script>{SCRIPT}</script></body></html>'
+    heading = lambda n: HEADINGS.get(n, f"Tenth {n} of 10")
+    links = "".join(f'<a href="#tenth{n}">{e(heading(n))}</a>' for n in shown)
+    facts = "".join(f"<li>{e(TITLES[k])}: {s['n_scored']} companies" + (", limits of the tenths at " + ", ".join(f"{100 * b:.2f}%" for b in s["boundaries"]) if s["boundaries"] else "") + "</li>" for k, s in data["summary"].items())
+    lists = lambda rows: "".join(map(company, rows)) or "<p>Nobody is in this tenth.</p>"
+    body = "".join(f'<section id="tenth{n}"><h2>{e(heading(n))}</h2><div class="columns">' + "".join(f"<div><h3>{e(TITLES[k])}</h3>{lists(rows)}</div>" for k, rows in data["deciles"][n].items()) + "</div></section>" for n in shown)
+    return f'<!DOCTYPE html><html lang="en"><meta charset="utf-8"><title>Negative wording in filings</title><style>{STYLE}</style><h1>Negative wording in filings</h1><p>As of {e(refreshed)}</p><ul>{facts}</ul><nav>{links}</nav>{body}<script type="application/json" id="detail">{island(data["detail"])}</script><script>{SCRIPT}</script></html>'
 
 
-def server(page, host: str = "127.0.0.1", port: int = 8080) -> HTTPServer:
+def server(page, host: str = "127.0.0.1", port: int = 8080, log_requests: bool = False) -> HTTPServer:
     """Serves page() at / and a sign of life at /ping. page gives a rendered page; no job runs for a request."""
 
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self):
-            path = self.path.split("?")[0]
-            body = {"/": page, "/ping": lambda: "<!DOCTYPE html><html><body><h1>PONG</h1></body></html>"}.get(path)
-            data = (body() if body else "not found").encode()
-            self.send_response(200 if body else 404)
-            self.send_header("Content-Type", "text/html; charset=utf-8")
+            route = self.path.partition("?")[0]
+            status, kind, text = (200, "text/html", page()) if route == "/" else (200, "text/plain", "up") if route == "/ping" else (404, "text/plain", "no such page")
+            data = text.encode()
+            self.send_response(status)
+            self.send_header("Content-Type", f"{kind}; charset=utf-8")
             self.send_header("Content-Length", str(len(data)))
             self.end_headers()
             self.wfile.write(data)
 
-        def log_message(self, *args):
-            pass
+        def log_message(self, form, *args):
+            if log_requests:
+                super().log_message(form, *args)
 
     return HTTPServer((host, port), Handler)

@@ -14,20 +14,6 @@ PARSER_VERSION, EXTRACTOR_VERSION, SCORER_VERSION = "2", "2", "1"
 MIN_WORDS, N_FILINGS, MIN_FILINGS = 200, 4, 2
 JUMP_RATIO = 5.0
 
-
-FILINGS = 200, 4, 2
-JUMP_RATIO = 5.0
-
-
-def fields(spec: str) -> T.StructType:
-    """`name type` pairs divided by commas; a name with `!` is not null."""
-    out = T.StructType()
-    for part in spec.split(","):
-        name, kind = part.split()
-        out.add(name.rstrip("!"), T._parse_datatype_string(kind) if hasattr(T, "_parse_datatype_string") else KINDS[kind], not name.endswith("!"))
-    return out
-
-
 FILINGS = "accession string, cik bigint, ticker string, form_type string, period_of_report string, acceptance_dt string, filing_date string, primary_doc string, raw_path string, parse_status string, stack string, downloaded_at string"
 MEMBERS = "ticker string, cik bigint, name string, sector string, weight_pct double, updated_at string"
 SCORES = "accession string, section string, weighting string, scorer_version string, total_words bigint, " + ", ".join(f"{m} double" for m in MEASURES) + ", scored_at string"
@@ -36,7 +22,7 @@ SECTION = "struct<status:string,word_count:bigint,char_count:bigint,suspicious_f
 FULL = "struct<status:string,word_count:bigint,char_count:bigint,non_letter_ratio:double,non_ascii_ratio:double,suspicious_flags:array<string>>"
 SECTION_RECORDS = f"cik bigint, accession string, parser_version string, section_extractor_version string, extractor string, form_type string, parsed_at string, status string, error string, full {FULL}, risk_factors {SECTION}, mdna {SECTION}"
 SUBMISSIONS = "cik string, name string, tickers array<string>, filings struct<recent:struct<accessionNumber:array<string>,form:array<string>,filingDate:array<string>,reportDate:array<string>,acceptanceDateTime:array<string>,primaryDocument:array<string>>,files:array<struct<name:string>>>"
-KEYS = {"filings": ["accession"], "members": ["ticker"], "scores": ["accession", "section", "weighting"]}
+KEYS = {"filings": ["accession"], "members": ["ticker"], "scores": ["accession", "section", "weighting"], "texts": ["accession", "section"], "records": ["accession"]}
 
 
 def of_stack(stack: str) -> str:

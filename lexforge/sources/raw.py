@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html
@@ -10,27 +10,50 @@ from ..functions import text as fn
 from ..schema import PARSER_VERSION, SECTION_RECORDS
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """path and content of all <cik>/<accession>/primary.html and .html.gz below root."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "primary.html*").load(root).select("path", "content", "length")
+#: Files up to which their paths are given to the reader one by one; of more, all are read and the chosen ones kept.
+NAMED_FILES = 20_000
+
+
+def files_below(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "primary.html*").load(root)
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """path and length of all <cik>/<accession>/primary.html and .html.gz below root; no content is read."""
+    return files_below(spark, root).select("path", "length")
+
+
+def completed(spark: SparkSession, root: str) -> DataFrame:
+    """accession of all filings whose landing is complete: those with a metadata.json."""
+    marks = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "metadata.json").load(root)
+    return marks.select(F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("accession"))
 
 
 def preferred(files: DataFrame) -> DataFrame:
-    """One file for each filing, the gzipped one first; number and accession from the path where they aren't columns."""
-    named = files
-    if "accession" not in files.columns:
-        named = files.withColumn("accession", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1)).withColumn("cik", F.regexp_extract("path", r"/([^/]+)/[^/]+/[^/]+$", 1).try_cast("bigint"))
-    order = Window.partitionBy("accession").orderBy(F.col("path").endswith(".gz").desc(), "path")
-    return named.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    """path, accession and cik of one file for each filing, the gzipped one first; the latter two are read off the path."""
+    named = files.select("path", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("accession"), F.regexp_extract("path", r"/([^/]+)/[^/]+/[^/]+$", 1).try_cast("bigint").alias("cik"))
+    best = F.min_by(F.struct("path", "cik"), F.struct((~F.col("path").endswith(".gz")).alias("plain"), "path"))
+    return named.groupBy("accession").agg(best.alias("file")).select("accession", "file.path", "file.cik")
+
+
+def contents(spark: SparkSession, root: str, chosen: DataFrame) -> DataFrame:
+    """chosen (with path, one row for each) and the content of its files; content isn't shuffled for a few files."""
+    few = [r[0] for r in chosen.select("path").limit(NAMED_FILES + 1).collect()]
+    if not few:
+        return chosen.withColumn("content", F.lit(None).cast("binary"))
+    if len(few) <= NAMED_FILES:
+        return spark.read.format("binaryFile").load(few).select("path", "content").join(F.broadcast(chosen), "path")
+    return files_below(spark, root).select("path", "content").join(chosen, "path")
 
 
 def parsed(files: DataFrame, filings: DataFrame | None = None) -> DataFrame:
-    """accession, text (null unless it parsed well), full record and parser version; filings without a file get parse_fail."""
-    rows = files.select("accession", html.clean_html(F.col("content")).alias("text"))
+    """accession, text (null unless it parsed well), full record, error and parser version; filings without a file, and files
+    that can't be read, get parse_fail."""
+    rows = files.select("accession", html.clean_html(F.col("content")).alias("x")).select("accession", "x.text", "x.error")
     if filings is not None:
-        rows = filings.select("accession").join(rows, "accession", "left")
+        rows = filings.select("accession").join(rows.withColumn("__file", F.lit(True)), "accession", "left").withColumn("error", F.coalesce("error", F.when(F.col("__file").isNull(), "raw_missing"))).drop("__file")
     record = fn.full_record(F.col("text"))
-    return rows.select("accession", "text", record.alias("full"), F.lit(PARSER_VERSION).alias("parser_version")).withColumn("text", F.when(F.col("full.status") == "ok", F.col("text")))
+    return rows.select("accession", "text", "error", record.alias("full"), F.lit(PARSER_VERSION).alias("parser_version")).withColumn("text", F.when(F.col("full.status") == "ok", F.col("text")))
 
 
 def records_to_json(records: DataFrame) -> DataFrame:
@@ -41,8 +64,3 @@ def records_from_json(rows: DataFrame) -> DataFrame:
     """Records of rows with json; rows that can't be read, or have no numeric company, are left out."""
     data = F.from_json("json", SECTION_RECORDS, {"mode": "PERMISSIVE"})
     return rows.select(F.col("cik").alias("__cik"), F.col("accession").alias("__accession"), data.alias("r")).where("__cik is not null and r.status is not null").select("r.*", "__cik", "__accession").withColumn("cik", F.coalesce("cik", "__cik")).withColumn("accession", F.coalesce("accession", "__accession")).drop("__cik", "__accession")
-
-
-def disk_usage(spark: SparkSession, root: str) -> int:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
