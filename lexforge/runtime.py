@@ -40,6 +40,7 @@ def spread(rows: DataFrame) -> DataFrame:
     of their own and stay as they are read."""
     spark = rows.sparkSession
     cores, parts = spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()
-    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b")) if str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b").isdigit() else 128 << 20
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return rows.repartition(cores) if 0 < parts < cores and SPREAD_BYTES < size <= split * min(parts + 1, 8) else rows
+    split = str(spark.conf.get("spark.sql.files.maxPartitionBytes")).rstrip("b")
+    most = (int(split) if split.isdigit() else 128 << 20) * min(parts + 1, 8)
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(cores) if 0 < parts < cores and SPREAD_BYTES < size <= most else rows
