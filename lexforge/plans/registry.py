@@ -5,6 +5,7 @@ Doubles are rounded to 10 digits, as sums depend on the order of their parts. Ar
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import html, names
 from ..functions import text as fn
 from ..operators import diagnose, rank, score, select
+from ..runtime import shared_folder
 from ..schema import CATEGORIES, EXTRACTOR_VERSION, MEASURES, SCORER_VERSION
 from ..sources import driver, lexicon, store
 from ..sources.driver import WORDS_SQL, oracle, read
+from . import report
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,7 +115,7 @@ def txt06(spark, d):
 
 @query("txt07")
 def txt07(spark, d):
-    return read(spark, d, "pages").select("page_id", html.clean_html(F.col("html")).alias("text"))
+    return read(spark, d, "pages").select("page_id", html.clean_html(F.col("html"))["text"].alias("text"))
 
 
 @query("txt08")
@@ -135,6 +138,27 @@ def txt11(spark, d):
     return docs(spark, d, fn.parse_status(fn.word_count(TEXT())).alias("status"))
 
 
+STRIPPED = "regexp_replace(coalesce({0}, ''), '^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$', '', 'g')"
+
+
+@query("txt12", f"SELECT accession, {STRIPPED.format('risk_factors')} AS mdna, {STRIPPED.format('mdna')} AS risk_factors FROM sections")
+def txt12(spark, d):
+    """Sections by their headings, in quarterly reports made of the documents' halves, after a table of contents."""
+    from ..functions import sections
+
+    body = F.concat(F.lit("PART I\nItem 2.\nPART II\nItem 1A.\nItem 6.\nPART I\nItem 2.\n"), F.coalesce("risk_factors", F.lit("")), F.lit("\nPART II\nItem 1A.\n"), F.coalesce("mdna", F.lit("")), F.lit("\nItem 6.\n"))
+    return driver.sections(spark, d).select("accession", sections.split_sections(body, F.lit("10-Q")).alias("s")).select("accession", "s.mdna", "s.risk_factors")
+
+
+@query("txt16", "SELECT accession, CASE WHEN accession::BIGINT % 3 = 0 THEN 'section_fail' WHEN full_status <> 'ok' THEN full_status ELSE pair_status END AS status, CASE WHEN accession::BIGINT % 3 = 0 THEN 'raw_missing' ELSE rf_flags END AS flag, CASE WHEN accession::BIGINT % 3 = 0 THEN 'missing' ELSE md_status END AS mdna FROM records")
+def txt16(spark, d):
+    """Every third filing's raw file is gone."""
+    parsed = diagnose.parse_records(driver.filings(spark, d), driver.texts(spark, d))
+    gone = F.when(F.col("accession").cast("bigint") % 3 == 0, "raw_missing")
+    made = diagnose.section_records(parsed, driver.sections(spark, d).withColumn("error", gone))
+    return made.select("accession", "status", F.array_join("risk_factors.suspicious_flags", ",").alias("flag"), F.col("mdna.status").alias("mdna"))
+
+
 @query("txt13", f"SELECT doc_id, {driver.REFERS_SQL.format('text')} AS refers FROM documents")
 def txt13(spark, d):
     return docs(spark, d, fn.by_reference(TEXT()).alias("refers"))
@@ -173,6 +197,13 @@ def str04(spark, d):
     return read(spark, d, "orders").select("o_orderkey", names.submissions_url(F.col("o_custkey")).alias("submissions"), names.document_url(F.col("o_custkey"), F.col("o_orderpriority"), F.lit("primary.htm")).alias("document"), names.extra_url(F.col("o_orderpriority")).alias("extra"))
 
 
+@query("str05", "SELECT doc_id, CAST(CASE WHEN coalesce(part, '') <> '' THEN coalesce(strpos(text, part), 0) - 1 ELSE -1 END AS INTEGER) AS place FROM (SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN 'no such words' WHEN doc_id % 5 = 1 THEN '' ELSE substr(text, 1 + CAST(doc_id % 90 AS INTEGER), 20) END AS part FROM documents)")
+def str05(spark, d):
+    key = F.col("doc_id")
+    part = F.when(key % 5 == 0, "no such words").when(key % 5 == 1, "").otherwise(F.substring(TEXT(), (1 + key % 90).cast("int"), F.lit(20)))
+    return docs(spark, d, TEXT(), part.alias("part")).select("doc_id", names.find("text", "part").alias("place"))
+
+
 @query("str06", "SELECT ticker, CASE sector " + " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in names.COLOURS.items()) + f" ELSE '{names.OTHER_COLOUR}' END AS colour FROM members")
 def str06(spark, d):
     return driver.members(spark, d).select("ticker", names.sector_colour(F.col("sector")).alias("colour"))
@@ -210,11 +241,32 @@ def wide_lexicon(spark):
 
 @query("src11")
 def src11(spark, d):
-    """Pages as filings' bytes, some gzipped in one more copy that is preferred."""
+    """Pages as filings' bytes; every seventh is cut off and every eleventh is gone."""
     from ..sources import raw
 
-    pages = read(spark, d, "pages").select(F.col("page_id").cast("string").alias("accession"), F.col("html").cast("binary").alias("content"))
-    return raw.parsed(raw.preferred(pages.withColumn("path", F.concat(F.lit("1/"), "accession", F.lit("/primary.html"))))).select("accession", "full.word_count", "full.status")
+    pages = read(spark, d, "pages").select(F.col("page_id").cast("string").alias("accession"), F.when(F.col("page_id") % 7 == 0, F.unhex(F.lit("1f8b0800"))).otherwise(F.col("html").cast("binary")).alias("content"))
+    return raw.parsed(pages.where("cast(accession as bigint) % 11 != 0"), pages).select("accession", "full.word_count", "full.status", F.col("error").isNotNull().alias("failed"))
+
+
+@query("src05", "SELECT upper(ticker) AS ticker, arg_max(cik, place) AS cik FROM (SELECT c_custkey AS place, c_custkey + 1000 AS cik, lower(c_mktsegment) || (c_custkey % 97) AS ticker FROM customer) GROUP BY 1")
+def src05(spark, d):
+    """Ticker lists as JSON objects of numbered entries."""
+    from ..sources import edgar
+
+    key = F.col("c_custkey")
+    entry = F.create_map(key.cast("string"), F.struct((key + 1000).alias("cik_str"), F.concat(F.lower("c_mktsegment"), (key % 97).cast("string")).alias("ticker"), F.col("c_name").alias("title")))
+    return edgar.read_tickers(read(spark, d, "customer").select(F.to_json(entry).alias("json")))
+
+
+@query("src10", "SELECT o_orderkey::VARCHAR AS accession, strftime(o_orderdate, '%Y-%m-%d') AS filed, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 THEN 'period' END AS period FROM orders")
+def src10(spark, d):
+    """Filing lists as blocks of parallel arrays, one of which is shorter."""
+    from ..sources import edgar
+
+    rows = read(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")))).alias("x"))
+    keys, days = F.transform("x", lambda r: r["o_orderkey"].cast("string")), F.transform("x", lambda r: r["day"])
+    block = F.struct(keys.alias("accessionNumber"), F.transform("x", lambda r: F.lit("10-Q")).alias("form"), days.alias("filingDate"), F.array(F.lit("period")).alias("reportDate"), days.alias("acceptanceDateTime"), keys.alias("primaryDocument"))
+    return edgar.listed_filings(rows.select(block.alias("block"))).select(F.col("accessionNumber").alias("accession"), F.col("filingDate").alias("filed"), F.col("reportDate").alias("period"))
 
 
 @query("src12", "SELECT DISTINCT word, category FROM lexicon")
@@ -266,6 +318,41 @@ def snk11(spark, d):
     return diagnose.table_counts(filings=f, members=m, scores=s)
 
 
+@query("snk01", "SELECT o_orderkey::VARCHAR AS accession, CASE WHEN o_orderkey % 3 = 0 THEN 'changed' WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'added' END AS form_type FROM orders")
+def snk01(spark, d):
+    """A table of the store, made, filled, changed and read: half of the rows, a third of all once more, and the rest."""
+    s = store.Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4()}").ensure()
+    rows = read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("accession"), F.lit("first").alias("form_type"))
+    key = F.col("accession").cast("bigint")
+    s.replace("filings", rows.where(key % 2 == 0))
+    s.upsert("filings", rows.where(key % 3 == 0).withColumn("form_type", F.lit("changed")))
+    s.append_new("filings", rows.withColumn("form_type", F.lit("added")))
+    return s.read("filings").select("accession", "form_type")
+
+
+@query("snk10", "SELECT table_name, CAST(0 AS BIGINT) AS n FROM (VALUES ('filings'), ('members'), ('scores')) t(table_name)")
+def snk10(spark, d):
+    """New tables are there and empty."""
+    return store.Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4()}").ensure().counts()
+
+
+@query("snk12")
+def snk12(spark, d):
+    """The sheet of filings to be labelled by hand."""
+    r, f = records(spark, d), driver.filings(spark, d)
+    return diagnose.validation_sheet(diagnose.validation_set(diagnose.flagged_records(r, f), f, 40))
+
+
+@query("jsn01", "SELECT accession, CASE WHEN full_status <> 'ok' THEN full_status ELSE pair_status END AS status, full_words AS words, rf_status AS risk, md_flags AS flag FROM records")
+def jsn01(spark, d):
+    """Fields of the records' JSON."""
+    from ..sources import raw
+
+    at = lambda path: F.get_json_object("json", path)
+    flag = F.coalesce(at("$.mdna.suspicious_flags[0]"), F.lit(""))
+    return raw.records_to_json(records(spark, d)).select("accession", at("$.status").alias("status"), at("$.full.word_count").cast("bigint").alias("words"), at("$.risk_factors.status").alias("risk"), flag.alias("flag"))
+
+
 # --- filters and joins ---------------------------------------------------------------------------------------------
 
 LISTED_SQL = "SELECT o_orderkey::VARCHAR AS accession, form, filing_date FROM (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '10-Q/A' ELSE '8-K' END AS form, strftime(o_orderdate, '%Y-%m-%d') AS filing_date FROM orders)"
@@ -291,6 +378,13 @@ def flt02(spark, d):
     return both.unionByName(select.universe(members, "sp500", given).select(F.lit("given").alias("kind"), "ticker", "cik"))
 
 
+@query("flt03", "SELECT accession FROM v_filings WHERE accession::BIGINT % 3 = 0")
+def flt03(spark, d):
+    f = driver.volume(spark, d)[1]
+    marks = f.where("cast(accession as bigint) % 3 = 0").select("accession")
+    return select.complete_filings(f, marks.unionByName(marks)).select("accession")
+
+
 @query("flt04", "SELECT accession FROM filings WHERE parse_status IS NULL OR accession::BIGINT % 3 = 0")
 def flt04(spark, d):
     have = driver.texts(spark, d).where("cast(accession as bigint) % 3 != 0")
@@ -377,6 +471,15 @@ def joi08(spark, d):
     return diagnose.long_sections(records(spark, d)).join(driver.filings(spark, d).select("accession", "filing_date"), "accession", "left").select("accession", "section", "word_count", "filing_date")
 
 
+@query("joi09", "SELECT section, count(*) AS labelled, count(*) FILTER (text <> '') AS found, count(*) FILTER (text <> '' AND label_start >= 0 AND start >= 0 AND abs(label_start - start) <= 200) AS start_ok, count(*) FILTER (text <> '' AND label_end >= 0 AND start >= 0 AND abs(label_end - (start + length(text))) <= 1000) AS end_ok FROM (SELECT section, text, CASE WHEN head <> '' THEN strpos(full_text, head) - 1 ELSE -1 END AS label_start, CASE WHEN tail <> '' THEN strpos(full_text, tail) - 1 ELSE -1 END AS label_end, CASE WHEN text <> '' THEN strpos(full_text, substr(text, 1, 200)) - 1 ELSE -1 END AS start FROM (SELECT 'risk_factors' AS section, coalesce(risk_factors, '') AS text, coalesce(full_text, '') AS full_text, coalesce(substr(risk_factors, 1 + CAST(accession::BIGINT % 3 AS INTEGER) * 150, 40), '') AS head, coalesce(right(risk_factors, 30), '') AS tail FROM sections UNION ALL SELECT 'mdna', coalesce(mdna, ''), coalesce(full_text, ''), coalesce(left(mdna, 25), ''), '') WHERE head <> '' OR tail <> '') GROUP BY section".replace(", '') WHERE", ", '' FROM sections) WHERE"))
+def joi09(spark, d):
+    """Sections against labels: the first characters of some, off by a little in others, and the ends of one kind."""
+    rows = driver.sections(spark, d)
+    shift = (1 + F.col("accession").cast("bigint") % 3 * 150).cast("int")
+    labels = rows.select(F.lit(1).cast("bigint").alias("cik"), "accession", F.substring(F.col("risk_factors"), shift, F.lit(40)).alias("risk_factors_start_substring"), F.right("risk_factors", F.lit(30)).alias("risk_factors_end_substring"), F.left("mdna", F.lit(25)).alias("mdna_start_substring"), F.lit("").alias("mdna_end_substring"))
+    return diagnose.validation_accuracy(labels, driver.texts(spark, d))
+
+
 # --- aggregations --------------------------------------------------------------------------------------------------
 
 
@@ -516,27 +619,14 @@ def srt01(spark, d):
     return select.limited(driver.volume(spark, d)[1].select("cik", "accession"), 100)
 
 
-@query("srt02", "SELECT ticker, accession, section, acceptance_dt FROM v_quarterly ORDER BY ticker, acceptance_dt DESC, section, accession LIMIT 500")
+@query("srt02", "SELECT ticker, accession, section, acceptance_dt FROM v_quarterly ORDER BY ticker, acceptance_dt DESC, section, accession")
 def srt02(spark, d):
-    s, f, m = driver.volume(spark, d)
-    return rank.filing_detail(s, f, m, m).select("ticker", "accession", "section", "acceptance_dt").orderBy(*rank.detail_order()).limit(500)
-
-
-@query("srt02_all", "SELECT ticker, accession, section, acceptance_dt FROM v_quarterly ORDER BY ticker, acceptance_dt DESC, section, accession")
-def srt02_all(spark, d):
-    """srt02 without its limit."""
     s, f, m = driver.volume(spark, d)
     return rank.filing_detail(s, f, m, m).select("ticker", "accession", "section", "acceptance_dt").orderBy(*rank.detail_order())
 
 
-@query("srt03", "SELECT ticker, decile_mdna FROM v_ranks ORDER BY decile_mdna DESC NULLS LAST, ticker LIMIT 50")
+@query("srt03", "SELECT ticker, decile_mdna FROM v_ranks ORDER BY decile_mdna DESC NULLS LAST, ticker")
 def srt03(spark, d):
-    return volume_ranks(spark, d).orderBy(*rank.rank_order()).select("ticker", "decile_mdna").limit(50)
-
-
-@query("srt03_all", "SELECT ticker, decile_mdna FROM v_ranks ORDER BY decile_mdna DESC NULLS LAST, ticker")
-def srt03_all(spark, d):
-    """srt03 without its limit."""
     return volume_ranks(spark, d).orderBy(*rank.rank_order()).select("ticker", "decile_mdna")
 
 
@@ -562,15 +652,9 @@ def srt08(spark, d):
     return diagnose.validation_set(diagnose.flagged_records(r, f), f, 40)
 
 
-@query("set01", "SELECT accession, 'recent' AS block FROM v_filings WHERE accession::BIGINT % 2 = 0 UNION ALL SELECT accession, 'extra' FROM v_filings WHERE accession::BIGINT % 3 = 0")
+@query("set01", "SELECT accession, 'recent' AS block FROM v_filings WHERE accession::BIGINT % 2 = 0 UNION ALL SELECT accession, 'extra' FROM v_filings WHERE accession::BIGINT % 2 <> 0 OR accession::BIGINT % 3 = 0")
 def set01(spark, d):
-    f = driver.volume(spark, d)[1].select("accession")
-    return f.where("cast(accession as bigint) % 2 = 0").withColumn("block", F.lit("recent")).unionByName(f.where("cast(accession as bigint) % 3 = 0").withColumn("block", F.lit("extra")))
-
-
-@query("set01_all", "SELECT accession, 'recent' AS block FROM v_filings WHERE accession::BIGINT % 2 = 0 UNION ALL SELECT accession, 'extra' FROM v_filings WHERE accession::BIGINT % 2 <> 0 OR accession::BIGINT % 3 = 0")
-def set01_all(spark, d):
-    """set01 with blocks that together hold every filing."""
+    """Two blocks that share some filings and together hold every one."""
     f = driver.volume(spark, d)[1].select("accession")
     return f.where("cast(accession as bigint) % 2 = 0").withColumn("block", F.lit("recent")).unionByName(f.where("cast(accession as bigint) % 2 <> 0 or cast(accession as bigint) % 3 = 0").withColumn("block", F.lit("extra")))
 
@@ -612,9 +696,10 @@ def api03(spark, d):
     return rounded(rank.decile_rows(ranks(spark, d), "risk"), 8)
 
 
-@query("api04")
+SHOWN_SQL = "SELECT '{k}' AS section, decile_{k} AS decile, CAST(row_number() OVER (PARTITION BY decile_{k} ORDER BY mean_neg_{k} DESC, ticker) AS INTEGER) AS rank, ticker, coalesce(name, '') AS name, coalesce(sector, '') AS sector, CASE sector " + " ".join(f"WHEN '{s}' THEN '{c}'" for s, c in names.COLOURS.items()) + f" ELSE '{names.OTHER_COLOUR}' END AS sector_colour, round(mean_neg_{{k}}, 8) AS mean_neg, filing_count_{{k}} AS filing_count FROM ranks WHERE decile_{{k}} IN (1, 10)"
+
+
+@query("api04", " UNION ALL ".join(SHOWN_SQL.format(k=k) for k in rank.SHORT.values()))
 def api04(spark, d):
     """The rows that a report shows: deciles 10 and 1 of both sections."""
-    r = ranks(spark, d)
-    parts = [rounded(rank.decile_rows(r, k), 8).where(F.col("decile").isin(*rank.DISPLAYED)).select(F.lit(k).alias("section"), "*") for k in rank.SHORT.values()]
-    return parts[0].unionByName(parts[1])
+    return rounded(report.shown_rows(ranks(spark, d)), 8)

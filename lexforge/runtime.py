@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 from pathlib import Path
@@ -34,6 +35,14 @@ def importable(spark: SparkSession | None = None) -> None:
             context.addPyFile(shutil.make_archive(f"{folder}/{Path(__file__).parent.name}", "zip", root, Path(__file__).parent.name))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as spark.checkpoint.dir names it. Only a local session may do without one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or tempfile.mkdtemp(prefix="shared-")).rstrip("/")
+
+
 def spread(rows: DataFrame) -> DataFrame:
     """The rows over all cores if they come in fewer partitions of many bytes each: one file of long texts would otherwise be
     one task. What is shuffled is bounded by SPREAD_BYTES for each core and partition; larger inputs have small enough splits
