@@ -149,8 +149,9 @@ PATTERNS = {
 COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
 #: A cheap test whether a text can hold any entity of some kinds.
 HINTS = {"email": re.compile("@"), "secret": re.compile(r"AKIA|ASIA|[=:]"), "ip": re.compile(r"\d\.\d"), "card": re.compile(r"\d[ -]?\d[ -]?\d"), "phone": re.compile(r"\d{3}"), "national_id": re.compile(r"\d-\d"), "iban": re.compile(r"[A-Z]{2}\d\d"), "ipv6": re.compile(r"::|[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:")}
-LATIN_WHO, OTHER_WHO = ([w for w in [*TITLES, *(w for w in WHO if w[0].isupper())] if (max(w) < "ɐ") == latin] for latin in (True, False))
-UNCASED_WHO = [*UNCASED_TITLES, *(t for k in BEHIND.values() for t in k)]
+#: Any title or known given name of scripts with capitals, and any title of the others.
+CASED_WHO = re.compile("|".join(map(re.escape, sorted([*TITLES, *(w for w in WHO if w[0].isupper())]))))
+UNCASED_WHO = re.compile("|".join(map(re.escape, [*UNCASED_TITLES, *(t for k in BEHIND.values() for t in k)])))
 OTHER_SCRIPT = re.compile(r"[\u0370-\u0e7f\u3040-\u30ff\u4e00-\u9fff\uac00-\ud7a3]")
 
 ANY_DIGIT = re.compile(r"\d{2}|\d\.\d")
@@ -408,9 +409,9 @@ RANGES = [(10 << 24, 11 << 24, "private a"), ((172 << 24) + (16 << 16), (172 <<
 def may_hold(kind: str, text: str, digits: bool, other: bool) -> bool:
     """A cheap test whether a text can hold an entity of a kind. digits, other: it has some, or letters of other scripts."""
     if kind == "name":
-        return any(w in text for w in LATIN_WHO) or (other and any(w in text for w in OTHER_WHO))
+        return CASED_WHO.search(text) is not None
     if kind == "uncased name":
-        return other and any(w in text for w in UNCASED_WHO)
+        return other and UNCASED_WHO.search(text) is not None
     return (digits or kind not in NEED_DIGITS) and HINTS[kind].search(text) is not None
 
 
