@@ -34,8 +34,8 @@ from ..runtime import importable
 from .common import map_batches, written
 
 Q, EDITS, BLOCK_SYMBOLS = 8, 0.08, 4_000_000
-#: Positions looked at together.
-SLICE = 1 << 17
+#: Positions looked at together, and characters of texts that are folded together (or one text).
+SLICE, TEXTS = 1 << 17, 1 << 19
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Diagonals are counted from so far to the left, which is more than the symbols of any item.
 FAR_LEFT, LOW = 1 << 32, (1 << 40) - 1
@@ -123,7 +123,16 @@ class Index:
         return where, which, self.count[which]
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-        """Text number, item number, edits, start and end (characters of the text) of each match."""
+        """Text number, item number, edits, start and end (characters of the text) of each match; whole texts, some at a time."""
+        out, at, size = [], 0, 0
+        for k, t in enumerate(texts):
+            size += len(t or "")
+            if size >= TEXTS or k == len(texts) - 1:
+                out += [(d + at, *rest) for d, *rest in self._search(texts[at : k + 1])]
+                at, size = k + 1, 0
+        return out
+
+    def _search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         if not self.ids:
             return []
         symbols, origin, ends = fold(texts)
