@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..runtime import importable
 
 #: Rows and bytes of one Arrow batch handed to Python, so that a worker's memory doesn't depend on the length of texts.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 #: A-Z to a-z and nothing else, for str.translate and translate().
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

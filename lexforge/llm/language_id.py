@@ -29,6 +29,8 @@ from .common import held_out, map_batches, training_sample
 SAMPLE_TEXTS, SAMPLE_CHARS, BLOCK = 60, 24_000, 4096
 #: Every so many symbols the states of the two parses are compared.
 COMPARE = 64
+#: Characters of texts that are parsed together (or one text).
+TOGETHER = 1 << 20
 #: Steepness of the score over the difference in bits per symbol.
 STEEP = 4.0
 UND = "und"
@@ -114,30 +116,29 @@ class Model:
         """A base for each row at which its symbols meet no other row's."""
         base = np.zeros(len(rows), np.int32)
         taken = bytearray(self.width + sum(map(len, rows)) * 2)
-        free = 0
+        reached: dict[int, int] = {}  # of rows of a size, the place up to which others of it were tried
         for i in sorted(range(len(rows)), key=lambda i: -len(rows[i])):
             symbols = list(rows[i])
             if not symbols:
                 continue
-            while taken[free]:
-                free += 1
             least = min(symbols)
-            at = max(free - least, 0)
+            place = max(reached.get(len(symbols), 0), least)
             while True:
-                if at + self.width >= len(taken):
+                if place + self.width >= len(taken):
                     taken.extend(bytes(len(taken)))
-                if not any(taken[at + c] for c in symbols):
+                place = taken.index(0, place)
+                if place + self.width < len(taken) and not any([taken[place - least + c] for c in symbols]):
                     break
-                at = max(taken.index(0, at + least + 1) - least, at + 1)
-            base[i] = at
+                place += place + self.width < len(taken)
+            reached[len(symbols)] = place
+            base[i] = place - least
             for c in symbols:
-                taken[at + c] = 1
+                taken[place - least + c] = 1
         return base
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The texts' symbols in one array, without repeated separators, and each text's end in it."""
-        points = code_points(folded(texts))
-        flat = self.lut[points]
+        flat = self.lut[code_points(folded(texts))]
         keep = flat != 0  # a separator stays after a letter alone, also at the start of a text
         keep[1:] |= flat[:-1] != 0
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
@@ -238,6 +239,18 @@ class Model:
         return lanes[state[lanes] != old_state]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of each text; whole texts, about TOGETHER characters at a time."""
+        langs, scores, at, size = [], [], 0, 0
+        for k, t in enumerate(texts):
+            size += len(t or "")
+            if size >= TOGETHER or k == len(texts) - 1:
+                some = self._predict(texts[at : k + 1])
+                langs += some[0]
+                scores += some[1]
+                at, size = k + 1, 0
+        return langs, scores
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not texts or not self.languages:
             return [UND] * len(texts), [0.0] * len(texts)
         total, lengths, letters = self.phrases([t or "" for t in texts])
