@@ -24,7 +24,8 @@ def synthetic_rows() -> list[tuple[str, str]]:
 
 
 def synthetic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(synthetic_rows(), "word string, category string")
+    rows = ", ".join(f"('{word}', '{category}')" for word, category in synthetic_rows())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(word, category)")
 
 
 def from_wide(rows: DataFrame) -> DataFrame:
