@@ -74,15 +74,25 @@ HTML = """<html><head><title>no</title></head><body><ix:header><ix:hidden>no</ix
 
 
 def test_html(spark):
-    text = one(spark, html.clean_html(F.col("c0")), HTML)
+    text, error = one(spark, html.clean_html(F.col("c0")), HTML)
+    assert error is None
     assert "no" not in text.split() and 'office said "yes"' in text and "12" in text and "more text" in text
-    assert one(spark, html.clean_html(F.col("c0")), None) is None
+    assert tuple(one(spark, html.clean_html(F.col("c0")), None)) == (None, None)
+    assert one(spark, html.clean_html(F.col("c0")), "<![foo[x]]>")["error"]
     import gzip
 
     assert html.clean(gzip.compress(HTML.encode())) == text
     assert html.clean("<table>never closed <p>x") == ""
 
 
+def test_cross_references_are_no_headings():
+    """Items named within a line don't cut a section, one that is split over lines ends where the next heading begins."""
+    text = "\n".join(["PART II", "Item 1A.", "Risk Factors", "We refer to Item 2 and see Item 7A for more.", "risk " * 30, "Item 6. Exhibits", "PART I", "Item", "2. not a heading", "Item 2. Discussion", "as told in Item 1A of Part II", "Item 3. Other"])
+    got = sections.split(text, "10-Q")
+    assert got["risk_factors"].startswith("Risk Factors") and "Item 7A for more" in got["risk_factors"] and got["risk_factors"].endswith("risk")
+    assert got["mdna"].endswith("as told in Item 1A of Part II")
+
+
 def test_sections():
     ten_k = "\n".join(["Item 1A. Risk Factors", "Item 7. MD&A", "Item 1A. Risk Factors", "risk " * 50, "Item 1B. None", "Item 7. Discussion", "talk " * 60, "Item 7A. Market", "x"])
     got = sections.split(ten_k, "10-K")
