@@ -38,7 +38,7 @@ def importable(spark: SparkSession | None = None) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as spark.checkpoint.dir names it. Only a local session may do without one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named and not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (named or tempfile.mkdtemp(prefix="shared-")).rstrip("/")
 
