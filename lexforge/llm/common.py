@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import importable
+from ..runtime import importable, shared_folder
 
 #: Rows and bytes of one Arrow batch handed to Python, so that a worker's memory doesn't depend on the length of texts.
 BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
@@ -62,12 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     would be lost with it.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        if not configured and not re.match(r"local(\[[^,]*\])?$", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoints-"))
-    return configured or context.getCheckpointDir()
+        context.setCheckpointDir(shared_folder(spark))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
