@@ -78,6 +78,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def not_broadcast(df: DataFrame) -> DataFrame:
+    """The frame as a side of a join by shuffles. Spark takes a table by the size of its compressed files and doesn't count the
+    rows that explode() adds, so what grows with the input may pass for small and would be built in the driver's memory."""
+    return df.hint("merge")
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; rows at 1 are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

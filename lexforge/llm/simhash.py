@@ -13,6 +13,7 @@ at the lowest differing place. Candidates are verified on all 64 bits. Nothing i
 Equal fingerprints are one node of the graph; components come from large-star and small-star rounds. Exact copies never
 become pairs, and a fingerprint has at most as many links as there are others within RADIUS bits (43,744), whatever the input.
 The rows of a fingerprint that very many have aren't gathered: its component comes to them as a broadcast of bounded size.
+Tables of fingerprints and of their probes grow with the input and are never broadcast, whatever their files' sizes suggest.
 
 Defined cases: null and empty texts, and texts of white space, have fingerprint zero, which links like any other;
 texts with one or two words are hashed whole; a null doc_id is a document that names no component; rows with equal ids
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, join_on_counted, map_batches, written
+from .common import checkpointed, join_on_counted, map_batches, not_broadcast, written
 from .components import connected_components
 
 BITS, RADIUS, SHINGLE, SEED, PARTS = 64, 3, 3, 42, 2
@@ -169,7 +170,7 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> DataFrame
     left = fps.select(F.col("fp").alias("a"), F.explode(F.array(*index)).alias("at")).select("a", "at.part", "at.key")
     right = fps.select(F.col("fp").alias("b"), F.explode(F.concat(*probes)).alias("at")).select("b", "at.part", "at.key")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, radius)
-    return left.join(right, ["part", "key"]).where(near).select("a", "b")
+    return left.join(not_broadcast(right), ["part", "key"]).where(near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -183,10 +184,10 @@ def least_of_components(rows: DataFrame, key: str) -> DataFrame:
     """Each fingerprint fp, how many rows have it, and the least key of the rows of its component."""
     nodes = written(rows.groupBy("fp").agg(F.min(key).alias("first"), F.count("*").alias("n")))
     found = connected_components(links(nodes.select("fp")))
-    inside = found.withColumnRenamed("node", "fp").join(nodes, "fp")
+    inside = found.withColumnRenamed("node", "fp").join(not_broadcast(nodes), "fp")
     least = inside.groupBy("component").agg(F.min("first").alias("least"))
     linked = found.join(least, "component").select(F.col("node").alias("fp"), "least")
-    return nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("least", "first").alias("least"))
+    return written(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("least", "first").alias("least")))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -202,5 +203,5 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     rows = checkpointed(fingerprints(hashed, "text", ("doc_id", "h")).select("fp", F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h")).alias("at")))
     stay = least_of_components(rows, "at").select(F.col("least.doc_id").alias("doc_id"), F.col("least.h").alias("__h")).distinct()
-    kept = docs.withColumn("__h", F.xxhash64("text")).join(stay, ["doc_id", "__h"], "left_semi").dropDuplicates(["doc_id", "__h"])
+    kept = docs.withColumn("__h", F.xxhash64("text")).join(not_broadcast(stay), ["doc_id", "__h"], "left_semi").dropDuplicates(["doc_id", "__h"])
     return kept.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -261,6 +261,15 @@ def test_one_of_each_group_with_repeated_ids(spark):
         got = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert sorted(r["text"] for r in got) == sorted((a, b)), rows
 
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_of_each_group_broadcasts_nothing(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    assert "Broadcast" not in planned(simhash.one_of_each_group(docs))
+
 # --- urls ------------------------------------------------------------------------------------------------------------
 
 PAGES = [
