@@ -153,5 +153,5 @@ def join_on_counted(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n
     heavy = F.col(n) > total / HEAVY
     often, columns = keys.where(heavy), [c for c in keys.columns if c not in on]
     met = rows.join(F.broadcast(often), on)
-    rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(keys.where(~heavy), on)
+    rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(not_broadcast(keys.where(~heavy)), on)
     return met.select(*rows.columns, *columns).unionByName(rest.select(*rows.columns, *columns))

@@ -266,6 +266,17 @@ def planned(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_simhash_broadcasts_no_table_that_grows(spark, sf):
+    """Every table of this size passes for small, as larger ones did by their files' sizes; only heavy keys may be broadcast."""
+    docs = common.table(spark, sf, "documents")
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    fps = spark.createDataFrame([(i,) for i in range(40)], "fp long")
+    assert "Broadcast" not in planned(simhash.links(fps))
+    rows = simhash.fingerprints(docs)
+    assert "Join" not in planned(simhash.least_of_components(rows, "doc_id"))
+    assert len(set(re.findall(r"BroadcastExchange.*?plan_id=(\d+)", planned(simhash.groups_of_documents(docs))))) == 2
+
+
 def test_one_of_each_group_broadcasts_nothing(spark, sf):
     docs = common.table(spark, sf, "documents")
     assert "Broadcast" not in planned(simhash.one_of_each_group(docs))
