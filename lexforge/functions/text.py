@@ -22,8 +22,8 @@ def tokens(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Words between white space of any kind."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")).cast("bigint")
+    """Words between white space of any kind. No lambda: Spark counts anew for each use of an expression that has one."""
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")).cast("bigint")
 
 
 def char_count(text: Column) -> Column:
@@ -36,11 +36,11 @@ def share(text: Column, but: str, empty: float) -> Column:
 
 
 def non_letter_ratio(text: Column) -> Column:
-    return 1 - share(text, r"[^\p{L}]", 0.0)
+    return 1 - share(text, r"[^\p{L}]+", 0.0)
 
 
 def non_ascii_ratio(text: Column) -> Column:
-    return share(text, r"[\x00-\x7f]", 0.0)
+    return share(text, r"[\x00-\x7f]+", 0.0)
 
 
 def flags(*named: tuple[Column, str]) -> Column:
@@ -49,8 +49,12 @@ def flags(*named: tuple[Column, str]) -> Column:
 
 
 def full_text_flags(text: Column) -> Column:
-    n = word_count(text)
-    return flags((n < LOW_WORDS, "word_count_low"), (n > HIGH_WORDS, "word_count_high"), (non_letter_ratio(text) > LOW_ALPHA, "low_alpha_ratio"), (non_ascii_ratio(text) > DENSE_NON_ASCII, "non_ascii_dense"))
+    m = full_measures(text)
+    return measured_flags(m["words"], m["non_letter"], m["non_ascii"])
+
+
+def measured_flags(words: Column, non_letter: Column, non_ascii: Column) -> Column:
+    return flags((words < LOW_WORDS, "word_count_low"), (words > HIGH_WORDS, "word_count_high"), (non_letter > LOW_ALPHA, "low_alpha_ratio"), (non_ascii > DENSE_NON_ASCII, "non_ascii_dense"))
 
 
 def fold_punctuation(text: Column) -> Column:
@@ -71,25 +75,47 @@ def parse_status(words: Column) -> Column:
     return F.when(words >= PARSED_WORDS, "ok").otherwise("parse_fail")
 
 
-def full_record(text: Column) -> Column:
-    """What is kept about a whole filing's text."""
-    n = word_count(text)
-    return F.struct(parse_status(n).alias("status"), n.alias("word_count"), char_count(text).alias("char_count"), F.round(non_letter_ratio(text), 4).alias("non_letter_ratio"), F.round(non_ascii_ratio(text), 4).alias("non_ascii_ratio"), full_text_flags(text).alias("suspicious_flags"))
+def full_measures(text: Column) -> dict[str, Column]:
+    """What a whole filing's record takes from its text. As columns of their own they are taken once, where the text is read."""
+    return {"words": word_count(text), "chars": char_count(text), "non_letter": non_letter_ratio(text), "non_ascii": non_ascii_ratio(text)}
+
+
+#: The measures of a text that isn't there.
+NO_FULL = {"words": 0, "chars": 0, "non_letter": 1.0, "non_ascii": 0.0}
+
+
+def full_record(words: Column, chars: Column, non_letter: Column, non_ascii: Column) -> Column:
+    """What is kept about a whole filing's text, of its measures."""
+    return F.struct(parse_status(words).alias("status"), words.alias("word_count"), chars.alias("char_count"), F.round(non_letter, 4).alias("non_letter_ratio"), F.round(non_ascii, 4).alias("non_ascii_ratio"), measured_flags(words, non_letter, non_ascii).alias("suspicious_flags"))
 
 
 def by_reference(text: Column) -> Column:
     return F.coalesce(text.rlike("(?iU)" + BY_REFERENCE), F.lit(False))
 
 
+def section_measures(text: Column) -> dict[str, Column]:
+    """What a section's record takes from its text, as full_measures()."""
+    n = word_count(text)
+    return {"words": n, "chars": char_count(text), "refers": (n < REFERENCE_WORDS) & by_reference(text), "excerpt": F.substring(F.coalesce(text, F.lit("")), 1, EXCERPT)}
+
+
+#: The measures of a section that isn't there.
+NO_SECTION = {"words": 0, "chars": 0, "refers": False, "excerpt": ""}
+
+
 def section_record(text: Column, full_words: Column, floor: Column | int = 0, least: Column | int = PARSED_WORDS) -> Column:
-    """Status and flags of one section; the first rule that holds decides."""
+    """Status and flags of one section."""
+    return measured_section(**section_measures(text), full_words=full_words, floor=floor, least=least)
+
+
+def measured_section(words: Column, chars: Column, refers: Column, excerpt: Column, full_words: Column, floor: Column | int = 0, least: Column | int = PARSED_WORDS) -> Column:
+    """section_record() of the text's measures; the first rule that holds decides."""
     floor, least = (F.lit(x) if isinstance(x, int) else x for x in (floor, least))
-    n, chars = word_count(text), char_count(text)
-    refers = (n < REFERENCE_WORDS) & by_reference(text)
+    n = words
     whole = (full_words > 0) & (n > full_words * OVER_RATIO)
     status = F.when(chars == 0, "missing").when(refers, "incorp_ref").when(n < floor, "missing").when((n > OVER_WORDS) | F.coalesce(whole, F.lit(False)), "over_extracted").otherwise("ok")
     flag = F.when(chars == 0, F.lit(None)).when(refers, "incorp_ref_phrase").when(n < floor, "below_hard_floor").when(n > OVER_WORDS, "length_high").when(whole, "equal_to_full").when(n < least, "length_low")
-    return F.struct(status.alias("status"), n.alias("word_count"), chars.alias("char_count"), F.array_compact(F.array(flag)).alias("suspicious_flags"), F.substring(F.coalesce(text, F.lit("")), 1, EXCERPT).alias("head_excerpt"))
+    return F.struct(status.alias("status"), n.alias("word_count"), chars.alias("char_count"), F.array_compact(F.array(flag)).alias("suspicious_flags"), excerpt.alias("head_excerpt"))
 
 
 def missing_record(flag: str) -> Column:

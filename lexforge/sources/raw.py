@@ -52,7 +52,8 @@ def parsed(files: DataFrame, filings: DataFrame | None = None) -> DataFrame:
     rows = files.select("accession", html.clean_html(F.col("content")).alias("x")).select("accession", "x.text", "x.error")
     if filings is not None:
         rows = filings.select("accession").join(rows.withColumn("__file", F.lit(True)), "accession", "left").withColumn("error", F.coalesce("error", F.when(F.col("__file").isNull(), "raw_missing"))).drop("__file")
-    record = fn.full_record(F.col("text"))
+    record = fn.full_record(**{k: F.col(f"__{k}") for k in fn.NO_FULL})
+    rows = rows.select("accession", "text", "error", *(c.alias(f"__{k}") for k, c in fn.full_measures(F.col("text")).items()))
     return rows.select("accession", "text", "error", record.alias("full"), F.lit(PARSER_VERSION).alias("parser_version")).withColumn("text", F.when(F.col("full.status") == "ok", F.col("text")))
 
 
@@ -61,6 +62,10 @@ def records_to_json(records: DataFrame) -> DataFrame:
 
 
 def records_from_json(rows: DataFrame) -> DataFrame:
-    """Records of rows with json; rows that can't be read, or have no numeric company, are left out."""
-    data = F.from_json("json", SECTION_RECORDS, {"mode": "PERMISSIVE"})
-    return rows.select(F.col("cik").alias("__cik"), F.col("accession").alias("__accession"), data.alias("r")).where("__cik is not null and r.status is not null").select("r.*", "__cik", "__accession").withColumn("cik", F.coalesce("cik", "__cik")).withColumn("accession", F.coalesce("accession", "__accession")).drop("__cik", "__accession")
+    """Records of rows with json; rows that can't be read, or have no numeric company, are left out.
+
+    Records are picked in the array that is exploded: a filter would be pushed down and parse every JSON once more.
+    """
+    data = F.array(F.from_json("json", SECTION_RECORDS, {"mode": "PERMISSIVE"}))
+    read = F.explode(F.filter(data, lambda r: r["status"].isNotNull())).alias("r")
+    return rows.where("cik is not null").select(F.col("cik").alias("__cik"), F.col("accession").alias("__accession"), read).select("r.*", "__cik", "__accession").withColumn("cik", F.coalesce("cik", "__cik")).withColumn("accession", F.coalesce("accession", "__accession")).drop("__cik", "__accession")

@@ -115,5 +115,34 @@ def test_query(spark, sf, db, name):
     assert sorted(pick(r, found.columns) for r in rows) == sorted(pick(r, want.columns) for r in want.fetchall())
 
 
+def times(df, function):
+    """How often the plan calls the function."""
+    return df._jdf.queryExecution().executedPlan().toString().count(f"{function}(")
+
+
+@pytest.fixture
+def whole_plans(spark):
+    """Plans as strings with all of their columns and no broadcasts."""
+    conf = {"spark.sql.maxPlanStringLength": "10000000", "spark.sql.debug.maxToStringFields": "1000", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_records_measure_texts_once(spark, sf, whole_plans):
+    """One count of words for each text and, in the same row, one for the rule of references, which shares it."""
+    df = entry.queries()["src16"](spark, sf)
+    assert times(df, "split") == 5 and times(df, "regexp_replace") == 2 and times(df, "from_json") == 1
+
+
+def test_records_shuffle_no_texts(spark, sf, whole_plans):
+    moved = registry.records(spark, sf)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[1:]
+    below = [m.splitlines()[1] for m in moved]
+    assert len(below) == 3 and not [b for b in below if re.search(r"(, |\[)(x#\d+\.)?(text|mdna|risk_factors)(#\d+)?( AS text#\d+)?[,\]]", b)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
