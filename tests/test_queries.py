@@ -161,7 +161,7 @@ def test_flagged_records_follow_the_jumps_of_long_sections(spark):
     assert any("yoy_jump" in (f or []) for v in want.values() for f in v)
 
 
-@pytest.mark.parametrize("name", ["srt08"])
+@pytest.mark.parametrize("name", ["srt08", "snk12"])
 def test_validation_set_reads_records_once(spark, sf, whole_plans, name):
     df = entry.queries()[name](spark, sf)
     assert times(df, "split") == 5 and "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
