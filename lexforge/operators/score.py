@@ -109,17 +109,21 @@ def document_frequencies(texts: DataFrame, ciks: list[int] | None = None, lexico
     if lexicon is None:
         return tokenized(full).select(F.explode(F.array_distinct("tokens")).alias("tok")).groupBy("tok").agg(F.count("*").alias("df")), n_docs
     one = F.when((F.col("section") == "full") & F.col("tok").isNotNull(), F.least("tf", F.lit(1)))
-    rows = counted(texts, words_of(lexicon)).groupBy("tok").agg(F.sum(one).alias("df"), F.max("total_words").alias("longest"))
-    return rows.where("df > 0").select("tok", "df"), n_docs
+    # a column that isn't used, or a word that may be null, would be cut below that shuffle, which then is another one
+    word = F.coalesce("tok", F.lit("")).alias("tok")
+    rows = counted(texts, words_of(lexicon)).groupBy(word).agg(F.sum(one).alias("df"), F.max("total_words").alias("longest"))
+    return rows.where("df > 0 and longest >= 0").select("tok", "df"), n_docs
 
 
 def weighted(texts: DataFrame, lexicon: DataFrame, df: DataFrame, n_docs: DataFrame) -> tuple[DataFrame, Column]:
     """counted() with df and n_docs, and the tf-idf weight of its rows.
 
-    n_docs is one row, and of df only lexicon words are kept, so both are broadcast as the lexicon is.
+    n_docs is one row, and of df only lexicon words are kept, so both are broadcast as the lexicon is: by their words, all
+    counts would go to a few tasks.
     """
     words = words_of(lexicon)
-    rows = counted(texts, words).join(df.join(words.table.select("tok"), "tok", "left_semi"), "tok", "left").crossJoin(F.broadcast(n_docs))
+    known = df.join(words.table.select("tok"), "tok", "left_semi")
+    rows = counted(texts, words).join(known if words.few is None else F.broadcast(known), "tok", "left").crossJoin(F.broadcast(n_docs))
     idf = F.log10("n_docs") - F.log10("df")
     return rows, F.when((F.col("df") > 0) & (F.col("n_docs") > 0) & (idf > 0), (1 + F.log10("tf")) * idf).otherwise(0.0)
 
@@ -133,23 +137,33 @@ def tfidf_scores(texts: DataFrame, lexicon: DataFrame, df: DataFrame, n_docs: Da
     return filled(rows.groupBy(*ID).agg(F.max("total_words").alias("total_words"), *category_sums(weight)), keep_empty)
 
 
-def score_filings(texts: DataFrame, lexicon: DataFrame, df: DataFrame | None = None, n_docs: DataFrame | None = None, scored_at: str | None = None) -> DataFrame:
+def score_filings(texts: DataFrame, lexicon: DataFrame, df: DataFrame | None = None, n_docs: DataFrame | None = None, scored_at: str | None = None, only: DataFrame | None = None) -> DataFrame:
     """Score rows of all texts with a token: a row for each text and weighting, both from one pass over the texts.
 
-    df and n_docs may come from another corpus.
+    df and n_docs may come from another corpus. only: the keys of the texts whose rows are wanted. They are picked after the
+    count, which document frequencies of the same texts share, so that no text is shuffled.
     """
     if df is None:
         df, n_docs = document_frequencies(texts, lexicon=lexicon)
     rows, weight = weighted(texts, lexicon, df, n_docs)
     both = rows.groupBy(*ID).agg(F.max("total_words").alias("total_words"), F.struct(F.lit("proportional").alias("weighting"), *category_sums(F.col("tf"))).alias("p"), F.struct(F.lit("tfidf").alias("weighting"), *category_sums(weight)).alias("t"))
+    if only is not None:
+        # by <=>, which sets no filter below the count; keys that are null match nothing
+        keys = only.where("accession is not null and section is not null").select(*(F.col(c).alias(f"__{c}") for c in ID)).distinct()
+        both = both.join(keys, F.col("accession").eqNullSafe(F.col("__accession")) & F.col("section").eqNullSafe(F.col("__section")))
     long = both.where("total_words > 0").select(*ID, "total_words", F.explode(F.array("p", "t")).alias("s"))
     return long.select(*ID, "s.weighting", F.lit(SCORER_VERSION).alias("scorer_version"), "total_words", *(f"s.{m}" for m in MEASURES), F.lit(scored_at).cast("string").alias("scored_at"))
 
 
-def eligible_texts(texts: DataFrame, records: DataFrame) -> DataFrame:
-    """Texts that may be scored: the full one unless its status says otherwise, a section only if its status is ok."""
+def eligible_keys(records: DataFrame) -> DataFrame:
+    """accession and section of texts that may be scored: the full one unless its status says otherwise, a section only if its
+    status is ok."""
     status = records.select("accession", F.explode(F.create_map(F.lit("full"), F.coalesce("full.status", F.lit("ok")), *(x for s in SECTIONS for x in (F.lit(s), F.col(f"{s}.status")))))).toDF("accession", "section", "__status")
-    return texts.join(status.where("__status = 'ok'"), ID, "left_semi")
+    return status.where("__status = 'ok'").select(*ID)
+
+
+def eligible_texts(texts: DataFrame, records: DataFrame) -> DataFrame:
+    return texts.join(eligible_keys(records), ID, "left_semi")
 
 
 def score_stats(scores: DataFrame, version: str = SCORER_VERSION) -> DataFrame:

@@ -515,8 +515,8 @@ def agg06(spark, d):
     """Unscored filings' usable texts, with the document frequencies of all texts."""
     texts, filings = driver.texts(spark, d), driver.filings(spark, d)
     done = filings.where("cast(accession as bigint) % 5 = 0").select("accession", F.lit(SCORER_VERSION).alias("scorer_version"))
-    todo = texts.join(select.to_score(filings, done).select("accession"), "accession", "left_semi")
-    return rounded(score.score_filings(score.eligible_texts(todo, records(spark, d)), lex(spark), *score.document_frequencies(texts, lexicon=lex(spark)))).select(*SCORE_COLUMNS)
+    usable = score.eligible_keys(records(spark, d)).join(select.to_score(filings, done).select("accession"), "accession", "left_semi")
+    return rounded(score.score_filings(texts, lex(spark), *score.document_frequencies(texts, lexicon=lex(spark)), only=usable)).select(*SCORE_COLUMNS)
 
 
 @query("agg07", "SELECT section, weighting, count(*) AS n, CAST(floor(avg(total_words)) AS BIGINT) AS avg_total_words, " + ", ".join(f"round(avg({m}), 5) AS avg_{m}" for m in MEASURES) + ", (SELECT count(*) FROM scores) AS rows, (SELECT count(DISTINCT accession) FROM scores) AS distinct_filings FROM scores GROUP BY section, weighting")

@@ -167,5 +167,18 @@ def test_validation_set_reads_records_once(spark, sf, whole_plans, name):
     assert times(df, "split") == 5 and "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["agg03", "agg06"])
+def test_scores_count_tokens_once(spark, sf, whole_plans, name):
+    """Document frequencies and scores share one count, and no text goes through a shuffle."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse is then part of the plan from the start
+    try:
+        df = entry.queries()[name](spark, sf)
+        assert times(df, "regexp_extract_all") == 1
+        moved = df._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[1:]
+        assert not [m for m in moved if re.search(r"Project \[.*x#\d+\.text AS text#|Project \[.*, text#\d+\]", m.splitlines()[1])]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
