@@ -569,8 +569,7 @@ def agg13(spark, d):
 
 @query("agg14", f"SELECT l.section, status, n, ok_n, min_words, {', '.join(f'p{p}_words' for p in diagnose.PERCENTS)}, max_words FROM (SELECT section, status, count(*) AS n FROM long_records GROUP BY ALL) l LEFT JOIN (SELECT section, count(*) AS ok_n, {quantiles_sql('word_count')} FROM long_records WHERE status = 'ok' AND word_count > 0 GROUP BY section) w ON l.section = w.section")
 def agg14(spark, d):
-    r = records(spark, d)
-    return diagnose.section_statuses(r).join(F.broadcast(diagnose.section_words(r).withColumnRenamed("n", "ok_n")), "section", "left")
+    return diagnose.section_summary(records(spark, d))
 
 
 @query("agg14_years", "SELECT section, TRY_CAST(substr(filing_date, 1, 4) AS INTEGER) AS year, round(avg(CASE WHEN status = 'ok' THEN 1.0 ELSE 0.0 END), 3) AS ok_rate FROM long_records GROUP BY 1, 2")

@@ -180,5 +180,18 @@ def test_scores_count_tokens_once(spark, sf, whole_plans, name):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_section_summary_reads_records_once(spark, sf, whole_plans):
+    assert times(entry.queries()["agg14"](spark, sf), "split") == 5
+
+
+def test_section_summary_of_sections_without_words(spark):
+    """A section none of whose records is ok and has words has no statistics; without words they aren't counted as ok."""
+    kind = "struct<status:string,word_count:bigint,suspicious_flags:array<string>>"
+    rows = [("2", 1, "a", ("ok", 10, []), ("missing", 5, [])), ("2", 1, "b", ("ok", 0, []), None), ("2", 1, "c", ("partial", 7, []), ("missing", 0, [])), ("1", 1, "d", ("ok", 99, []), ("ok", 99, []))]
+    records = spark.createDataFrame(rows, f"section_extractor_version string, cik bigint, accession string, risk_factors {kind}, mdna {kind}")
+    found = sorted(map(tuple, diagnose.section_summary(records).collect()))
+    assert found == [("mdna", "missing", 3, *[None] * 7), ("risk_factors", "ok", 2, 1, *[10] * 6), ("risk_factors", "partial", 1, 1, *[10] * 6)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
