@@ -193,7 +193,7 @@ def test_section_summary_of_sections_without_words(spark):
     assert found == [("mdna", "missing", 3, *[None] * 7), ("risk_factors", "ok", 2, 1, *[10] * 6), ("risk_factors", "partial", 1, 1, *[10] * 6)]
 
 
-@pytest.mark.parametrize("name", ["jsn01", "snk05", "txt15"])
+@pytest.mark.parametrize("name", ["jsn01", "snk05", "txt15", "srt07"])
 def test_queries_over_records_measure_texts_once(spark, sf, whole_plans, name):
     df = entry.queries()[name](spark, sf)
     assert times(df, "split") == 5 and times(df, "regexp_replace") == 2
